@@ -32,12 +32,17 @@ def _lunar_date(year: int, month: int, day: int) -> date:
     return date(622, 7, 19) + timedelta(days=days - 1)
 
 
-def holiday_calendar(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """Estimated calendar. For announced dates read a file with :func:`read_holidays`."""
+def holiday_calendar(
+    spark: SparkSession, first_year: int, last_year: int, lunar: bool = True,
+) -> DataFrame:
+    """Civil holidays, and estimated lunar ones. For announced dates read a file with
+    :func:`read_holidays`."""
     rows = [
         (date(y, m, d), name) for y in range(first_year, last_year + 1)
         for m, d, name, since in CIVIL_HOLIDAYS if y >= since
     ]
+    if not lunar:
+        return spark.createDataFrame(sorted(rows), HOLIDAY_SCHEMA)
     lunar_years = range(int((first_year - 622) * 33 / 32), int((last_year - 621) * 33 / 32) + 2)
     for y in lunar_years:
         for month, first, length, name in LUNAR_HOLIDAYS:

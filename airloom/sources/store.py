@@ -45,6 +45,15 @@ def alignment_losses(df: DataFrame, stored: T.StructType) -> DataFrame:
 
 # --- writing --------------------------------------------------------------------------------
 
+def _note_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """The bucket count belongs to the table: an upsert must place a station where it was."""
+    spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path}/_layout")
+
+
+def _noted_buckets(spark: SparkSession, path: str) -> int:
+    return spark.read.schema("buckets int").parquet(f"{path}/_layout").first().buckets
+
+
 def _write_partitions(df: DataFrame, path: str, dynamic: bool) -> None:
     """``rebalance`` groups rows by partition, and splits the groups that are too large for a task."""
     arranged = df.hint("rebalance", *[F.col(p) for p in PARTITIONS]).sortWithinPartitions(*PARTITIONS, *KEY)
@@ -61,6 +70,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def rebuild(df: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
     """Replace the whole feature table; its version stays the same. Returns the verification row."""
     _write_partitions(_with_partitions(plain_names(df), buckets), path, dynamic=False)
+    _note_buckets(df.sparkSession, path, buckets)
     report = verify(read_table(df.sparkSession, path))
     duplicates = report.select("duplicate_keys").first()[0]
     if duplicates:
@@ -106,13 +116,13 @@ def latest_wins(stored: DataFrame, batch: DataFrame, seq: str | None = None) ->
     return deduplicate(newest, "_at", keep="last").drop("_at")
 
 
-def upsert(batch: DataFrame, path: str, buckets: int = BUCKETS, seq: str | None = None) -> None:
+def upsert(batch: DataFrame, path: str, seq: str | None = None) -> None:
     """Insert or replace rows by key. Reads and rewrites only the partitions the batch touches;
     writing the same batch again changes nothing, so a repeated run is safe."""
     spark = batch.sparkSession
     stored = spark.read.parquet(path)
     rows = align_to(plain_names(batch), stored.schema)
-    rows = _with_partitions(rows, buckets)
+    rows = _with_partitions(rows, _noted_buckets(spark, path))
     touched = _touched(rows)
     if touched is None:
         kept = stored.join(F.broadcast(rows.select(*PARTITIONS).distinct()), PARTITIONS, "left_semi")

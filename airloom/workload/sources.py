@@ -140,7 +140,7 @@ def recent_rows(spark, sf_dir):
     return comparable(recent(obs(spark, sf_dir, AIR), "45 days"))
 
 
-AS_OF = "2001-12-01"
+AS_OF = "2001-11-10"
 
 
 @register("s9_recent_rows_with_fallback", comparable_sql(

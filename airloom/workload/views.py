@@ -24,10 +24,10 @@ READINGS = {
     "surface_pressure": "max(l_tax) * 200 + 990",
     "pm10": "avg(CASE WHEN l_linestatus = 'O' THEN l_quantity END) * 2.03710117",
     "pm2_5": "avg(CASE WHEN l_returnflag = 'R' THEN l_quantity END) * 1.01710337",
-    "carbon_monoxide": "max(l_extendedprice) / 101.37",
-    "nitrogen_dioxide": "avg(l_tax * l_quantity) * 101.37",
+    "carbon_monoxide": "max(l_extendedprice) / 101.37117013",
+    "nitrogen_dioxide": "avg(l_tax * l_quantity) * 101.37117013",
     "sulphur_dioxide": "max(l_quantity)",
-    "ozone": "avg(l_discount * l_quantity) * 101.37",
+    "ozone": "avg(l_discount * l_quantity) * 101.37117013",
     "us_aqi": "avg(l_quantity) * 6",
 }
 ALL_VARS = WEATHER_VARS + AIR_QUALITY_VARS
