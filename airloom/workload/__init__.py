@@ -2,7 +2,7 @@
 
 
 def _load():
-    from . import explore, features, sources, store, windows  # noqa: F401
+    from . import explore, features, models, sources, store, windows  # noqa: F401
     from .catalog import QUERIES, SQL
     return QUERIES, SQL
 
