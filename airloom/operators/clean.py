@@ -24,10 +24,6 @@ def clip_columns(df: DataFrame) -> list[str]:
     return [c for c in NON_NEGATIVE + POINT_COLUMNS if c in df.columns]
 
 
-def clip_at_zero(c: Column) -> Column:
-    return F.when(c < 0, F.lit(0.0)).otherwise(c)
-
-
 def _arrival_order(df: DataFrame, seq: str | None) -> list[Column]:
     """What "first" means among rows with the same key. Where the ingest sequence does not decide,
     the row content does, so a retried task picks the same row again."""
@@ -43,21 +39,19 @@ def deduplicate(df: DataFrame, seq: str | None = None, keep: str = "first") -> D
     return df.withColumn("_nth", F.row_number().over(ranked)).filter("_nth = 1").drop("_nth")
 
 
-def _filled(c: str, before: Column, after: Column) -> Column:
+def _filled(c: str, before: str, after: str) -> str:
     """Linear in row position between the neighbours; beyond the ends the nearest value holds."""
-    slope = (after["v"] - before["v"]) / (after["p"] - before["p"])
-    return F.coalesce(
-        F.col(c),
-        F.when(before.isNotNull() & after.isNotNull(),
-               slope * (F.col("_pos") - before["p"]) + before["v"]),
-        before["v"], after["v"],
-    )
+    between = f"({after}.v - {before}.v) / ({after}.p - {before}.p) * (_pos - {before}.p) + {before}.v"
+    return f"coalesce(`{c}`, {between}, {before}.v, {after}.v)"
 
 
 def _reading(c: str) -> Column:
     return F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).alias("v")))
 
 
+GROUP = 12  # columns repaired per window step: few enough for compact generated code
+
+
 def _nearest(cols: list[str], keys: str) -> list[Column]:
     """The closest reading at or before, and after, each row. ``lead ... IGNORE NULLS`` moves
     forward once over the partition; a frame open to the end would be re-read for every row."""
@@ -73,19 +67,30 @@ def _nearest(cols: list[str], keys: str) -> list[Column]:
     return found
 
 
-def _repaired(df: DataFrame, cols: list[str], clip: list[str], flag: bool) -> DataFrame:
-    values = {c: _filled(c, F.col(f"_before_{c}"), F.col(f"_after_{c}")) for c in cols}
-    kept = [c for c in df.columns if not c.startswith(("_before_", "_after_"))]
-    out = []
-    for c in kept:
-        value = values.get(c, F.col(c))
-        out.append((clip_at_zero(value) if c in clip else value).alias(c))
-    if flag:
-        imputed = F.lit(False)
-        for c in cols:
-            imputed = imputed | (F.col(c).isNull() & values[c].isNotNull())
-        out.append(imputed.alias("was_imputed"))
-    return df.select(*out)
+def _fill(df: DataFrame, cols: list[str], keys: list[str], carried: bool) -> DataFrame:
+    """Fill missing readings, a group of columns at a time over the same partitions and order (one
+    sort serves all). ``carried``: ``_in_x``/``_out_x`` hold readings from outside the partition.
+    ``_imputed`` collects whether anything was filled."""
+    df = df.withColumn("_imputed", F.lit(False))
+    for start in range(0, len(cols), GROUP):
+        group = cols[start:start + GROUP]
+        found = df.select("*", *_nearest(group, ", ".join(keys)))
+        out, filled = {}, []
+        for c in group:
+            before, after = f"_before_{c}", f"_after_{c}"
+            if carried:
+                before, after = f"coalesce({before}, _in_{c})", f"coalesce({after}, _out_{c})"
+            out[c] = f"{_filled(c, before, after)} AS `{c}`"
+            filled.append(f"`{c}` IS NULL AND coalesce({before}, {after}) IS NOT NULL")
+        out["_imputed"] = f"_imputed OR {' OR '.join(filled)} AS _imputed"
+        df = found.selectExpr(*[out.get(c, f"`{c}`") for c in df.columns])
+    return df
+
+
+def _finish(df: DataFrame, clip: list[str], flag: bool) -> DataFrame:
+    kept = [c for c in df.columns if c != "_imputed"]
+    out = [f"CASE WHEN `{c}` < 0 THEN 0.0D ELSE `{c}` END AS `{c}`" if c in clip else f"`{c}`" for c in kept]
+    return df.selectExpr(*out, *(["_imputed AS was_imputed"] if flag else []))
 
 
 def _clean_plain(df: DataFrame, cols, clip, seq, flag) -> DataFrame:
@@ -99,8 +104,7 @@ def _clean_plain(df: DataFrame, cols, clip, seq, flag) -> DataFrame:
         .drop("_arrival", "_previous")
         .withColumn("_pos", F.row_number().over(by_time).cast("bigint") - 1)
     )
-    near = first.select("*", *_nearest(cols, "station"))
-    return _repaired(near, cols, clip, flag).drop("_pos")
+    return _finish(_fill(first, cols, ["station"], carried=False), clip, flag).drop("_pos")
 
 
 def _clean_blocked(df: DataFrame, cols, clip, seq, flag) -> DataFrame:
@@ -119,14 +123,8 @@ def _clean_blocked(df: DataFrame, cols, clip, seq, flag) -> DataFrame:
         *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in cols],
         *[F.last(f"_first_{c}", ignorenulls=True).over(later).alias(f"_out_{c}") for c in cols],
     )
-    near = rows.select("*", *_nearest(cols, "station, _chunk")).join(carried, ["station", "_chunk"])
-    helper = {f"_{side}_{c}" for side in ("in", "out", "before", "after") for c in cols}
-    near = near.select(
-        *[c for c in near.columns if c not in helper],
-        *[F.coalesce(f"_before_{c}", f"_in_{c}").alias(f"_before_{c}") for c in cols],
-        *[F.coalesce(f"_after_{c}", f"_out_{c}").alias(f"_after_{c}") for c in cols],
-    )
-    return _repaired(near, cols, clip, flag)
+    filled = _fill(rows.join(carried, ["station", "_chunk"]), cols, ["station", "_chunk"], carried=True)
+    return _finish(filled.select(*rows.columns, "_imputed"), clip, flag)
 
 
 def clean(

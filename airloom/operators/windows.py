@@ -28,7 +28,8 @@ def lag(c: str, rows: int, w: WindowSpec) -> Column:
 
 def full_frame(agg: Callable, c: str, rows: int, w: WindowSpec) -> Column:
     frame = w.rowsBetween(-(rows - 1), 0)
-    return F.when(F.count(c).over(frame) == rows, agg(c).over(frame))
+    full = F.count(c).over(frame) == rows
+    return F.when(full, agg(c).over(frame))
 
 
 def day_sum_name(c: str) -> str:

@@ -3,7 +3,6 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,15 +23,15 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def comparable(df: DataFrame) -> DataFrame:
     """Types and precision both engines share: bigint, double to six digits, plain timestamps."""
-    def cast(c: str, t: str):
+    def cast(c: str, t: str) -> str:
         if t in ("double", "float"):
-            return (F.round(F.col(c).cast("double"), DIGITS) + F.lit(0.0)).alias(c)
+            return f"round(CAST(`{c}` AS DOUBLE), {DIGITS}) + 0.0D AS `{c}`"
         if t in ("int", "smallint", "tinyint"):
-            return F.col(c).cast("bigint").alias(c)
+            return f"CAST(`{c}` AS BIGINT) AS `{c}`"
         if t in ("timestamp", "date"):
-            return F.col(c).cast("timestamp_ntz").alias(c)
-        return F.col(c)
-    return df.select(*[cast(c, t) for c, t in df.dtypes])
+            return f"CAST(`{c}` AS TIMESTAMP_NTZ) AS `{c}`"
+        return f"`{c}`"
+    return df.selectExpr(*[cast(c, t) for c, t in df.dtypes])
 
 
 def comparable_sql(body: str, plain: list[str] | str, doubles: list[str] | str) -> str:

@@ -28,10 +28,12 @@ OUTLIER_END = "1996-09-01"  # the test tables run from 1995
 
 
 def learnable(spark, sf_dir):
-    """Cleaned predictors with all three targets, and their split."""
+    """Cleaned predictors with all three targets, and their split. Training passes over the rows
+    several times, so they are written once and read back."""
     df, hot = cleaned(spark, sf_dir, PREDICTORS)
-    rows = rolling(df, targets, hot=hot).na.drop(subset=TARGETS)
-    return T.add_split(rows, "1 day")
+    path = new_path(spark, "learnable")
+    rolling(df, targets, hot=hot).na.drop(subset=TARGETS).write.parquet(path)
+    return T.add_split(spark.read.parquet(path), "1 day")
 
 
 LEARNABLE_SQL = split_sql(
