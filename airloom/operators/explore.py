@@ -59,13 +59,13 @@ def by_month(df: DataFrame) -> DataFrame:
 def monthly_distribution(df: DataFrame) -> DataFrame:
     """Box statistics per month of the year, with the month's name."""
     months = df.select(F.month("datetime").alias("month"), month_name(F.col("datetime")).alias("month_name"), TARGET)
-    return box_stats(months, ["month", "month_name"], TARGET)
+    return box_stats(months, ["month", "month_name"], TARGET, few_groups=True)
 
 
 def pollutant_distribution(df: DataFrame) -> DataFrame:
     cols = [c for c in DISTRIBUTION_POLLUTANTS if c in df.columns]
     long = df.select(*cols).unpivot([], cols, "pollutant", "reading")
-    return box_stats(long, ["pollutant"], "reading")
+    return box_stats(long, ["pollutant"], "reading", few_groups=True)
 
 
 def correlations(df: DataFrame, target: str = TARGET, cols: list[str] | None = None) -> DataFrame:

@@ -14,8 +14,12 @@ ACCURACY = 10_000
 
 def exact_quantiles(
     df: DataFrame, groups: list[str], value: str, probs: list[float], accuracy: int = ACCURACY,
+    few_groups: bool = False,
 ) -> DataFrame:
-    """One row per group: ``groups``, ``n``, ``min``, ``max`` and ``quantiles`` (array, by prob)."""
+    """One row per group: ``groups``, ``n``, ``min``, ``max`` and ``quantiles`` (array, by prob).
+
+    ``few_groups``: the caller knows that the number of groups is small and fixed (months,
+    pollutants), so the brackets may be broadcast; otherwise Spark picks the join by size."""
     rows = df.select(*groups, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     margin = 3.0 / accuracy
     bounds = [b for p in probs for b in (max(0.0, p - margin), min(1.0, p + margin))]
@@ -32,8 +36,9 @@ def exact_quantiles(
     ])
     brackets = sketch.select(*groups, "n", "min", "max", wanted.alias("_wanted"))
     on = [rows[g].eqNullSafe(brackets[g]) for g in groups]
-    joined = rows.join(brackets.select(*groups, "_wanted"), on) if groups else rows.crossJoin(
-        F.broadcast(brackets.select("_wanted")))
+    wanted_rows = brackets.select(*groups, "_wanted")
+    small = F.broadcast(wanted_rows) if few_groups or not groups else wanted_rows
+    joined = rows.join(small, on) if groups else rows.crossJoin(small)
     for g in groups:
         joined = joined.drop(brackets[g])
     placed = joined.select(*groups, "_v", F.explode("_wanted").alias("_w")).select(*groups, "_v", "_w.*")
@@ -69,14 +74,14 @@ def exact_quantiles(
     return out
 
 
-def box_stats(df: DataFrame, groups: list[str], value: str) -> DataFrame:
+def box_stats(df: DataFrame, groups: list[str], value: str, few_groups: bool = False) -> DataFrame:
     """Quartiles, whiskers (the furthest values within 1.5 IQR of the box), min, max, count."""
-    q = exact_quantiles(df, groups, value, [0.25, 0.5, 0.75]).select(
+    q = exact_quantiles(df, groups, value, [0.25, 0.5, 0.75], few_groups=few_groups).select(
         *groups, "n", "min", "max", F.col("quantiles")[0].alias("q1"),
         F.col("quantiles")[1].alias("median"), F.col("quantiles")[2].alias("q3"))
     reach = (F.col("q3") - F.col("q1")) * 1.5
     limits = q.select(*groups, (F.col("q1") - reach).alias("_lo"), (F.col("q3") + reach).alias("_hi"))
-    whiskers = df.join(limits, groups).groupBy(*groups).agg(
+    whiskers = df.join(F.broadcast(limits) if few_groups else limits, groups).groupBy(*groups).agg(
         F.min(F.when(F.col(value) >= F.col("_lo"), F.col(value))).alias("lower_whisker"),
         F.max(F.when(F.col(value) <= F.col("_hi"), F.col(value))).alias("upper_whisker"))
     return q.join(whiskers, groups)

@@ -66,9 +66,15 @@ def feature_plan(
     hot = hot or find_hot_stations(raw)
     present = [c for c in WEATHER_VARS + AIR_QUALITY_VARS + POINT_COLUMNS if c in raw.columns]
     rows = raw.select(*KEY, *present, *([seq] if seq else []))
-    cleaned = clean(rows, present, seq, hot=hot).select(*KEY, *present)
-    featured = add_row_features(add_window_features(cleaned, hot), holidays)
-    return drop_low_value(encode_cycles(featured))
+
+    def windowed(part: DataFrame, kind: HotStations) -> DataFrame:
+        cleaned = clean(part, present, seq, hot=kind).select(*KEY, *present)
+        return add_window_features(cleaned, kind)
+
+    # cleaning and features stay together per kind, so ordinary stations are shuffled once for both
+    both = hot.apply(
+        rows, lambda d: windowed(d, HotStations()), lambda d: windowed(d, HotStations(every=True)))
+    return drop_low_value(encode_cycles(add_row_features(both, holidays)))
 
 
 def feature_columns(df: DataFrame) -> list[str]:

@@ -1,5 +1,6 @@
 """Run a registered query and its SQL on the same tables and report differences."""
 
+import os
 import sys
 import time
 
@@ -54,6 +55,8 @@ if __name__ == "__main__":
     sf_dir, patterns = sys.argv[1], sys.argv[2:]
     spark = local_session("oracle")
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("MAX_STATION_ROWS"):
+        spark.conf.set("airloom.maxStationRows", os.environ["MAX_STATION_ROWS"])
     con, sql = connect(sf_dir), entry.oracle_sql()
     bad = 0
     for name, query in entry.queries().items():
