@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import HORIZONS, TARGET
@@ -40,10 +40,15 @@ def scaler_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     return stats.select(F.create_map(*means).alias("mean"), F.create_map(*stds).alias("std"))
 
 
+def scaled_columns(stats: DataFrame, cols: list[str]) -> dict[str, Column]:
+    """Standardised columns. The statistics are one row with two numbers per column; they are read
+    here and become constants of the plan."""
+    row = stats.first()
+    return {c: (F.col(c) - F.lit(row["mean"][c])) / F.lit(row["std"][c]) for c in cols}
+
+
 def scale(df: DataFrame, stats: DataFrame, cols: list[str]) -> DataFrame:
-    """Standardise columns with a one-row statistics table."""
-    scaled = {c: (F.col(c) - F.col("mean")[c]) / F.col("std")[c] for c in cols}
-    return df.crossJoin(F.broadcast(stats)).withColumns(scaled).drop("mean", "std")
+    return df.withColumns(scaled_columns(stats, cols))
 
 
 def best_candidates(results: DataFrame) -> DataFrame:

@@ -20,25 +20,36 @@ def exact_quantiles(
 
     ``few_groups``: the caller knows that the number of groups is small and fixed (months,
     pollutants), so the brackets may be broadcast; otherwise Spark picks the join by size."""
+    if not groups:
+        whole = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, accuracy, True)
+        return whole.drop("_all")
     rows = df.select(*groups, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     margin = 3.0 / accuracy
     bounds = [b for p in probs for b in (max(0.0, p - margin), min(1.0, p + margin))]
     sketch = rows.groupBy(*groups).agg(
         F.count("*").alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"),
         F.percentile_approx("_v", bounds, accuracy).alias("_cuts"))
+    # In a small group the margin is less than a few ranks: rank the whole group. At the ends of
+    # the range there is nothing to cut off.
+    small_group = F.col("n") < 4 * accuracy
+
+    def open_low(p):
+        return small_group | F.lit(p - margin <= 0)
+
+    def open_high(p):
+        return small_group | F.lit(p + margin >= 1)
+
     wanted = F.array(*[
         F.struct(
             F.lit(i).alias("_i"), (F.lit(p) * (F.col("n") - 1)).alias("_rank"),
-            # the sketch may be off by its error at the ends too: open the outermost brackets
-            (F.col("min") if p - margin <= 0 else F.col("_cuts")[2 * i]).alias("_low"),
-            (F.col("max") if p + margin >= 1 else F.col("_cuts")[2 * i + 1]).alias("_high"),
+            F.when(open_low(p), F.col("min")).otherwise(F.col("_cuts")[2 * i]).alias("_low"),
+            F.when(open_high(p), F.col("max")).otherwise(F.col("_cuts")[2 * i + 1]).alias("_high"),
         ) for i, p in enumerate(probs)
     ])
     brackets = sketch.select(*groups, "n", "min", "max", wanted.alias("_wanted"))
     on = [rows[g].eqNullSafe(brackets[g]) for g in groups]
     wanted_rows = brackets.select(*groups, "_wanted")
-    small = F.broadcast(wanted_rows) if few_groups or not groups else wanted_rows
-    joined = rows.join(small, on) if groups else rows.crossJoin(small)
+    joined = rows.join(F.broadcast(wanted_rows) if few_groups else wanted_rows, on)
     for g in groups:
         joined = joined.drop(brackets[g])
     placed = joined.select(*groups, "_v", F.explode("_wanted").alias("_w")).select(*groups, "_v", "_w.*")
@@ -65,8 +76,6 @@ def exact_quantiles(
     lists = one.groupBy(*groups).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))), lambda x: x["_q"]).alias("quantiles"))
     slim = sketch.drop("_cuts")
-    if not groups:
-        return slim.crossJoin(F.broadcast(lists))
     match = [slim[g].eqNullSafe(lists[g]) for g in groups]
     out = slim.join(lists, match)
     for g in groups:

@@ -18,17 +18,17 @@ def warmed_up(df: DataFrame) -> DataFrame:
     return df.filter(F.col("aqi_rolling_mean_168h").isNotNull())
 
 
+def first_test_time(df: DataFrame, step: str = "1 hour", months: int = 12):
+    """First moment of the test period: the last time minus ``months`` plus one step."""
+    last = F.max("datetime")
+    return df.agg((last - F.expr(f"INTERVAL {months} MONTH") + F.expr(f"INTERVAL {step}")).alias("t")).first().t
+
+
 def add_split(df: DataFrame, step: str = "1 hour", months: int = 12) -> DataFrame:
     """``split``: test is the last ``months`` calendar months, train is everything before. One
-    boundary for all stations, from one aggregated row."""
-    last = df.agg(F.max("datetime").alias("_last"))
-    start = last.select(
-        (F.col("_last") - F.expr(f"INTERVAL {months} MONTH") + F.expr(f"INTERVAL {step}")).alias("_start"))
-    return (
-        df.crossJoin(F.broadcast(start))  # a single row
-        .withColumn("split", F.when(F.col("datetime") < F.col("_start"), "train").otherwise("test"))
-        .drop("_start")
-    )
+    boundary for all stations; it is read first, so that filters on it reach the scan."""
+    start = F.lit(first_test_time(df, step, months)).cast("timestamp_ntz")
+    return df.withColumn("split", F.when(F.col("datetime") < start, "train").otherwise("test"))
 
 
 def split_bounds(df: DataFrame) -> DataFrame:

@@ -63,8 +63,31 @@ def _write_partitions(df: DataFrame, path: str, dynamic: bool) -> None:
     writer.parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(*PARTITIONS)
+def read_table(spark: SparkSession, path: str, since=None, before=None) -> DataFrame:
+    """The table, or its rows from ``since`` / up to ``before`` (datetimes): the months outside are
+    not read."""
+    df = spark.read.parquet(path)
+    if since is not None:
+        df = df.filter((F.col("month") >= since.year * 100 + since.month)
+                       & (F.col("datetime") >= F.lit(since).cast("timestamp_ntz")))
+    if before is not None:
+        df = df.filter((F.col("month") <= before.year * 100 + before.month)
+                       & (F.col("datetime") < F.lit(before).cast("timestamp_ntz")))
+    return df.drop(*PARTITIONS)
+
+
+def read_recent(
+    spark: SparkSession, path: str, stations: DataFrame, rows: int, floor, upto: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of the given stations from ``floor`` on; the whole history only of stations that have
+    fewer than ``rows`` rows there (up to the station's ``since`` in ``upto``, if given)."""
+    near = read_table(spark, path, since=floor).join(stations, "station", "left_semi")
+    counted = near if upto is None else near.join(upto, "station").filter(F.col("datetime") <= F.col("since"))
+    enough = counted.groupBy("station").agg(F.count("*").alias("n")).filter(F.col("n") >= rows)
+    short = stations.join(enough, "station", "left_anti")
+    if short.isEmpty():
+        return near
+    return near.unionByName(read_table(spark, path, before=floor).join(short, "station", "left_semi"))
 
 
 def rebuild(df: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
