@@ -189,6 +189,58 @@ def fitted(spark, sf_dir):
     return rows, models, stats
 
 
+def _sums(weight: str) -> str:
+    """n, x1, x2, y and all products, as SQL sums."""
+    terms = {"n": "1", "x1": "x1", "x2": "x2", "y": "y", "x11": "x1 * x1", "x12": "x1 * x2", "x22": "x2 * x2",
+             "x1y": "x1 * y", "x2y": "x2 * y", "yy": "y * y"}
+    prefix = "w_" if weight != "1" else "u_"
+    return ", ".join(f"sum({weight} * {t}) AS {prefix}{n}" for n, t in terms.items())
+
+
+def _fit_sql(source: str, keep: str) -> str:
+    """Two-feature ridge by Cramer's rule from weighted sums and a penalty."""
+    return (
+        f"SELECT {keep}, b1, b2, (w_y - b1 * w_x1 - b2 * w_x2) / w_n AS b0 FROM (SELECT *, "
+        "(a22 * c1 - a12 * c2) / (a11 * a22 - a12 * a12) AS b1, (a11 * c2 - a12 * c1) / (a11 * a22 - a12 * a12) AS b2 FROM ("
+        "SELECT *, w_x11 - w_x1 * w_x1 / w_n + alpha AS a11, w_x12 - w_x1 * w_x2 / w_n AS a12, w_x22 - w_x2 * w_x2 / w_n + alpha AS a22, "
+        f"w_x1y - w_x1 * w_y / w_n AS c1, w_x2y - w_x2 * w_y / w_n AS c2 FROM ({source}) AS g) AS n) AS s")
+
+
+_TERMS = ["n", "x1", "x2", "y", "x11", "x12", "x22", "x1y", "x2y", "yy"]
+_RIDGE_SQL = (
+    "WITH t AS (SELECT *, CAST(greatest(0, ceil((rn - (n - 3 * (n // 4))) / CAST(greatest(n // 4, 1) AS DOUBLE))) AS INTEGER) AS cv_block "
+    "FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY datetime) AS rn, count(*) OVER (PARTITION BY station) AS n "
+    f"FROM ({_TRAIN_SQL}) AS t0) AS r), "
+    "s AS (SELECT avg(us_aqi) AS m1, stddev_pop(us_aqi) AS s1, avg(pm2_5) AS m2, stddev_pop(pm2_5) AS s2 FROM t), "
+    f"z AS (SELECT cv_block, CAST(CASE WHEN datetime < TIMESTAMP '{OUTLIER_END}' THEN 0.3 ELSE 1.0 END AS DOUBLE) AS w, "
+    "(us_aqi - m1) / s1 AS x1, (pm2_5 - m2) / s2 AS x2, horizon, CASE horizon WHEN 24 THEN target_us_aqi_24h_ahead "
+    "WHEN 48 THEN target_us_aqi_48h_ahead ELSE target_us_aqi_72h_ahead END AS y "
+    "FROM t CROSS JOIN s CROSS JOIN (VALUES (24), (48), (72)) AS h(horizon)), "
+    f"b AS (SELECT horizon, cv_block, {_sums('w')}, {_sums('1')} FROM z GROUP BY 1, 2), "
+    "p AS (SELECT power(10.0, k * 0.25 - 3) AS alpha FROM range(25) AS k(k)), "
+    "f AS (SELECT test.horizon, test.cv_block AS fold, " + ", ".join(f"sum(past.w_{x}) AS w_{x}" for x in _TERMS) + ", "
+    + ", ".join(f"any_value(test.u_{x}) AS u_{x}" for x in _TERMS)
+    + " FROM b AS test JOIN b AS past ON test.horizon = past.horizon AND past.cv_block < test.cv_block GROUP BY 1, 2), "
+    "e AS (" + _fit_sql("SELECT * FROM f CROSS JOIN p", "horizon, fold, alpha, " + ", ".join(f"u_{x}" for x in _TERMS)) + "), "
+    "c AS (SELECT horizon, alpha, avg(sqrt((u_yy - 2 * b0 * u_y - 2 * b1 * u_x1y - 2 * b2 * u_x2y + u_n * b0 * b0 + 2 * b0 * b1 * u_x1 "
+    "+ 2 * b0 * b2 * u_x2 + b1 * b1 * u_x11 + 2 * b1 * b2 * u_x12 + b2 * b2 * u_x22) / u_n)) AS cv_rmse FROM e GROUP BY 1, 2), "
+    "best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY horizon ORDER BY cv_rmse, alpha) AS rn FROM c) AS r WHERE rn = 1), "
+    "total AS (SELECT horizon, " + ", ".join(f"sum(w_{x}) AS w_{x}" for x in _TERMS) + " FROM b GROUP BY 1) "
+)
+
+
+@register("m1_ridge_two_features", _RIDGE_SQL + comparable_sql(
+    _fit_sql("SELECT total.*, best.alpha, best.cv_rmse FROM total JOIN best ON total.horizon = best.horizon", "horizon, alpha, cv_rmse"),
+    "horizon", "alpha cv_rmse b0 b1 b2"))
+def ridge_two_features(spark, sf_dir):
+    """All folds, penalties and horizons for two predictors: small enough for SQL to follow."""
+    train = T.cv_blocks(learnable(spark, sf_dir).filter("split = 'train'"))
+    models, _ = ridge.fit_ridge(train, FEW, weight=ridge.period_weight(OUTLIER_END))
+    return comparable(models.select(
+        "horizon", "alpha", "cv_rmse", F.col("intercept").alias("b0"),
+        F.col("coefficients")[0].alias("b1"), F.col("coefficients")[1].alias("b2")))
+
+
 @register("m1_ridge_cross_validated")
 def ridge_models(spark, sf_dir):
     _, models, _ = fitted(spark, sf_dir)
