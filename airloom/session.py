@@ -6,6 +6,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local_dirs: dict[str, str] = {}  # one temporary folder per local application
 
 
 def local_session(name: str = "airloom", cpus: str = "8", memory: str = "16g") -> SparkSession:
@@ -29,9 +30,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="airloom-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="airloom-")
+    return _local_dirs[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
