@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airloom.session import new_path
@@ -26,11 +27,52 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(FOLD).split() if text else []
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit finaliser: every input bit reaches every output bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(data: bytes, n: int = 1) -> np.ndarray:
+    """64-bit hashes of all runs of n words in text with single spaces; of all words if there are fewer.
+
+    They come from running sums over the bytes of the whole text (modulo 2^64, divided by the power at
+    which a run begins), so a run costs the same whatever its length.
+    """
+    if not data:
+        return np.empty(0, np.uint64)
+    if len(_POWERS[0]) <= len(data):
+        for k, base in enumerate((_BASE, _INVERSE)):
+            steps = np.full(2 * len(data) + 4096, base, np.uint64)
+            steps[0] = 1
+            _POWERS[k] = np.cumprod(steps)
+    codes = np.frombuffer(data, np.uint8)
+    sums = np.empty(len(data) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum((codes + np.uint64(1)) * _POWERS[0][: len(data)], out=sums[1:])
+    gaps = np.flatnonzero(codes == 32)
+    starts, ends = np.concatenate(([0], gaps + 1)), np.concatenate((gaps, [len(data)]))
+    k = min(n, len(starts))
+    starts, ends = starts[: len(starts) - k + 1], ends[k - 1 :]
+    return mixed((sums[ends] - sums[starts]) * _POWERS[1][starts] + (ends - starts).astype(np.uint64))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, everything else kept."""
     return F.translate(text, UPPER, LOWER)
 
 
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Rows that go to a Python worker at a time. Texts are long; Spark's default of 10,000 takes hundreds of MB."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: later reads survive lost executors, lineage ends here."""
     path = new_path(df.sparkSession, f"llm-{name}")

@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Iterator
 from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,29 +31,44 @@ def windows(items: Iterable[tuple[str | None, str | None]], size: int) -> dict[t
 
 
 class Scanner:
-    """The automaton: each benchmark word is one character, any other word the character 0."""
+    """The automaton over word codes.
+
+    A benchmark word is written as the digits of its number, each place with characters of its own, any
+    other word as one character that no pattern has. So patterns only match at word borders, and a node
+    has few children.
+    """
+
+    DIGITS = 64
 
     def __init__(self, found: dict[tuple[bytes, ...], list[str]]):
         import ahocorasick
 
         vocabulary = sorted({w for k in found for w in k})
-        self.code = {w: chr(i + 1 if i < 0xD7FF else i + 0x801) for i, w in enumerate(vocabulary)}  # no surrogates
+        places = 1
+        while self.DIGITS**places < len(vocabulary):
+            places += 1
+        self.code = {
+            w: "".join(chr(1 + p * self.DIGITS + i // self.DIGITS**p % self.DIGITS) for p in range(places)) for i, w in enumerate(vocabulary)}
         self.automaton = ahocorasick.Automaton()
         for k, ids in found.items():
             self.automaton.add_word("".join(map(self.code.__getitem__, k)), (len(k), ids))
         if found:
             self.automaton.make_automaton()
-        self.empty = not found
+        self.empty, self.places = not found, places
 
     def scan(self, text: str | None, runs: list, items: list) -> tuple[int, list[tuple[int, int]], list[str]]:
         """Words, hit runs of words (first and last, joined with those given) and items of one text."""
         w = words(text)
-        hits = [] if self.empty or not w else [
-            (end - n + 1, end, ids) for end, (n, ids) in self.automaton.iter("".join(map(self.code.get, w, repeat("\0"))))]
-        if not hits:
+        if self.empty or not w:
+            return len(w), runs, items
+        codes = list(map(self.code.get, w, repeat("\0")))
+        ends = list(self.automaton.iter("".join(codes)))
+        if not ends:
             return len(w), runs, items
+        word_ends = np.cumsum([len(c) for c in codes]) - 1
+        hits = [(int(np.searchsorted(word_ends, end)), n, ids) for end, (n, ids) in ends]
         joined: list[tuple[int, int]] = []
-        for first, last in sorted([(a, b) for a, b, _ in hits] + runs):
+        for first, last in sorted([(last - n + 1, last) for last, n, _ in hits] + runs):
             if joined and first <= joined[-1][1] + 1:
                 joined[-1] = (joined[-1][0], max(last, joined[-1][1]))
             else:
@@ -75,8 +91,8 @@ def _scan_udf(shared):
             state.append(Scanner(shared.value))
         for text, before in batches:
             rows = []
-            for t, b in zip(text, before):
-                t, b = t.as_py(), b.as_py() or {}
+            for t, b in zip(text.to_pylist(), before.to_pylist()):
+                b = b or {}
                 old = [(r["first"], r["last"]) for r in b.get("runs") or []]
                 n, runs, items = state[0].scan(t, old, b.get("items") or [])
                 rows.append({

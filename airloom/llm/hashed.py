@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
@@ -13,32 +13,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airloom.llm.common import FOLD, free_name
+from airloom.llm.common import FOLD, free_name, mixed, word_hashes
 
 #: Bytes of UTF-8 by kind: capital, other letter, digit; the rest stays.
 _KIND = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 57 if 48 <= b <= 57 else b for b in range(256))
 
 
-def feature_numbers(text: str | None) -> list[int]:
+def feature_numbers(text: str | None) -> np.ndarray:
     """Distinct hashed features: words, shapes of tokens, and steps of length, variety and repetition."""
-    data = text.encode("utf-8", "replace") if text else b""
-    tokens = Counter(data.split())
+    tokens = text.encode("utf-8", "replace").split() if text else []
     if not tokens:
-        return []
-    out = {zlib.crc32(w) for w in b" ".join(tokens).translate(FOLD).split()}
-    shapes = b" ".join(tokens).translate(_KIND)
+        return np.empty(0, np.int32)
+    counts = Counter(b" ".join(tokens).translate(FOLD).split())
+    distinct = b" ".join(set(tokens)).translate(_KIND)
     for run in (b"aaaa", b"aa", b"aa", b"AAAA", b"AA", b"AA", b"99", b"99"):
-        shapes = shapes.replace(run, run[:1])
-    out |= {zlib.crc32(s, 1) for s in set(shapes.split())}
-    n, top = tokens.total(), max(tokens.values())
-    out |= {zlib.crc32(f"{name}:{step}".encode(), 2) for name, step in (
-        ("length", n.bit_length()), ("variety", 10 * len(tokens) // n), ("top", 10 * top // n))}
-    return [x - (1 << 32) if x >> 31 else x for x in out]
+        distinct = distinct.replace(run, run[:1])
+    n = counts.total() or 1
+    steps = [len(tokens).bit_length(), 10 * len(counts) // n, 10 * max(counts.values(), default=0) // n]
+    kinds = [
+        word_hashes(b" ".join(counts)), mixed(word_hashes(b" ".join(set(distinct.split()))) + np.uint64(1)),
+        mixed(np.array([100 * i + x + 3 for i, x in enumerate(steps)], np.uint64))]
+    return (np.concatenate(kinds) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
 def features(text: pa.Array) -> pa.Array:
-    return pa.array([feature_numbers(t.as_py()) for t in text], pa.list_(pa.int32()))
+    rows = [feature_numbers(t) for t in text.to_pylist()]
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *rows])))
 
 
 def with_vector(df: DataFrame, text: str, vector: str, size: int) -> DataFrame:
@@ -48,11 +50,11 @@ def with_vector(df: DataFrame, text: str, vector: str, size: int) -> DataFrame:
     return HashingTF(numFeatures=size, binary=True, inputCol=numbers, outputCol=vector).transform(df).drop(numbers)
 
 
-def fit(rows: DataFrame, size: int, classes: int, iterations: int = 30, penalty: float = 1e-3) -> LogisticRegressionModel:
+def fit(rows: DataFrame, size: int, classes: int, iterations: int = 20, penalty: float = 1e-3) -> LogisticRegressionModel:
     """A logistic model of (vector, class, weight)."""
     return LogisticRegression(
         featuresCol="vector", labelCol="class", weightCol="weight", maxIter=iterations, regParam=penalty,
-        standardization=False, family="multinomial" if classes > 2 else "binomial").fit(rows)
+        standardization=False, family="multinomial" if classes > 2 else "binomial").fit(rows.coalesce(6))  # gradients are as wide as the model
 
 
 def score(df: DataFrame, model: LogisticRegressionModel, text: str, name: str, size: int) -> DataFrame:

@@ -11,48 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airloom.llm.common import free_name, save, words
-
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers (modulo 2^64) of the base and of its inverse."""
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(2 * n, base, np.uint64)
-            steps[0] = 1
-            _POWERS[k] = np.cumprod(steps)
-    return _POWERS[0][:n], _POWERS[1][:n]
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """64-bit finaliser: every input bit reaches every output bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
+from airloom.llm.common import free_name, mixed, save, word_hashes, words
 
 def ngram_set(text: str | None, n: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of all n-grams of words; a text of fewer words is one n-gram.
-
-    Hashes come from running sums over the bytes of the whole text, so an n-gram costs the same
-    whatever its length. No words: empty.
-    """
-    w = words(text)
-    if not w:
-        return np.empty(0, np.uint64)
-    data = np.frombuffer(b" ".join(w), np.uint8)
-    power, inverse = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
-    gaps = np.flatnonzero(data == 32)
-    starts, ends = np.concatenate(([0], gaps + 1)), np.concatenate((gaps, [len(data)]))
-    k = min(n, len(starts))
-    starts, ends = starts[: len(starts) - k + 1], ends[k - 1 :]
-    return np.unique(mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)))
+    """Sorted distinct 64-bit hashes of all n-grams of words; a text of fewer words is one n-gram. No words: empty."""
+    return np.unique(word_hashes(b" ".join(words(text)), n))
 
 
 def choose_bands(threshold: float = 0.8, recall: float = 0.9999, max_hashes: int = 128) -> tuple[int, int]:
@@ -67,21 +30,20 @@ def choose_bands(threshold: float = 0.8, recall: float = 0.9999, max_hashes: int
 
 
 def permutations(count: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Odd factors and summands of as many hash functions modulo 2^64."""
-    factor, summand = np.random.default_rng(seed).integers(0, 1 << 63, (2, count), dtype=np.uint64)
-    return factor * np.uint64(2) + np.uint64(1), summand
+    """Masks and odd factors of as many permutations of 32-bit numbers: x -> (x ^ mask) * factor."""
+    mask, factor = np.random.default_rng(seed).integers(0, 1 << 32, (2, count, 1), dtype=np.uint32)
+    return mask, factor | np.uint32(1)
 
 
 def band_hashes(grams: np.ndarray, bands: int, rows: int, drawn: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """One 64-bit hash for each band of MinHash values."""
-    a, b = drawn
-    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(grams), 4096):  # bounded memory for long texts
-        np.minimum(least, (a[:, None] * grams[None, i : i + 4096] + b[:, None]).min(axis=1), out=least)
-    least = mixed(least).reshape(bands, rows)
-    out = np.zeros(bands, np.uint64)
+    """One 64-bit hash for each band of MinHash values (over the upper half of each n-gram's hash)."""
+    mask, factor = drawn
+    least, upper = np.full(bands * rows, (1 << 32) - 1, np.uint32), (grams >> np.uint64(32)).astype(np.uint32)
+    for i in range(0, len(upper), 4096):  # bounded memory for long texts
+        np.minimum(least, ((upper[None, i : i + 4096] ^ mask) * factor).min(axis=1), out=least)
+    values, out = least.astype(np.uint64).reshape(bands, rows), np.zeros(bands, np.uint64)
     for r in range(rows):
-        out = mixed(out * _BASE + least[:, r])
+        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + values[:, r])
     return out
 
 
@@ -94,8 +56,8 @@ def _signature_udf(n: int, bands: int, rows: int):
     @F.arrow_udf("struct<key:string,bands:array<bigint>>")
     def signature(text: pa.Array) -> pa.Array:
         keys, all_bands, counts, drawn = [], [], [0], permutations(bands * rows)
-        for t in text:
-            grams = ngram_set(t.as_py(), n)
+        for t in text.to_pylist():
+            grams = ngram_set(t, n)
             keys.append(set_key(grams) if len(grams) else None)
             if len(grams):
                 all_bands.append(band_hashes(grams, bands, rows, drawn).view(np.int64))
@@ -110,7 +72,7 @@ def _signature_udf(n: int, bands: int, rows: int):
 def _grams_udf(n: int):
     @F.arrow_udf("struct<key:string,grams:binary>")
     def grams(text: pa.Array) -> pa.Array:
-        sets = [ngram_set(t.as_py(), n) for t in text]
+        sets = [ngram_set(t, n) for t in text.to_pylist()]
         return pa.StructArray.from_arrays(
             [pa.array([set_key(s) if len(s) else None for s in sets], pa.string()), pa.array([s.tobytes() for s in sets], pa.binary())],
             ["key", "grams"])

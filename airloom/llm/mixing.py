@@ -20,7 +20,7 @@ def domains_of(labels: DataFrame) -> DataFrame:
     return one.select("doc_id", F.expr("case when toxic = 1 then 'toxic' when quality = 1 then 'clean' when quality = 0 then 'junk' end").alias("domain")).where("domain is not null")
 
 
-def train_domains(docs: DataFrame, labelled: DataFrame, names: list[str], fit_rows: int = 10_000, size: int = 1 << 16) -> LogisticRegressionModel | None:
+def train_domains(docs: DataFrame, labelled: DataFrame, names: list[str], fit_rows: int = 10_000, size: int = 1 << 15) -> LogisticRegressionModel | None:
     """A multinomial model of the domains, fitted on about `fit_rows` labelled documents at most; None without any."""
     labelled = labelled.where(F.col("domain").isin(names))
     some = sampled(labelled, fit_rows, labelled.count(), "doc_id", "domain").withColumnRenamed("doc_id", "labelled_id")
@@ -117,7 +117,7 @@ def tokens(text: Column) -> Column:
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], total: float = 1.0, fit_rows: int = 10_000,
-        size: int = 1 << 16, **options) -> DataFrame:
+        size: int = 1 << 15, columns: list[str] | None = None, **options) -> DataFrame:
     """Adds tokens, posteriors (a double for each domain, in the order of `weights`) and rate.
 
     `labelled` (doc_id, domain) trains a classifier on hashed features of whole texts, on about
@@ -128,13 +128,16 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], tota
     Null or empty texts have no tokens; their rate follows their posterior like any other and moves no
     total. Labels without a document, of an unknown domain or null are left out; a document with two
     labels counts for both; without any label all domains are alike. Repeated rows are documents of their
-    own. Empty table: no rows. Columns called tokens, posteriors or rate are replaced; others stay.
+    own. Empty table: no rows. Columns called tokens, posteriors or rate are replaced; others stay, or
+    only `columns`. Posteriors are written once and read by every round.
     """
     names, share = list(weights), np.array(list(weights.values()), float)
     docs = docs.drop("tokens", "posteriors", "rate")
     model = train_domains(docs, labelled, names, fit_rows, size)
     soft = _posteriors(docs.withColumn("tokens", tokens(F.col("text"))), model, names, "posteriors", size)
-    slim = save(soft.where("tokens > 0").select("tokens", F.col("posteriors").alias("p")), "posteriors")
+    carried = docs.columns if columns is None else columns
+    soft = save(soft.select(*[f"`{c}`" for c in carried], "tokens", "posteriors"), "posteriors")
+    slim = soft.where("tokens > 0").select("tokens", F.col("posteriors").alias("p"))
     all_tokens = slim.agg(F.sum("tokens")).first()[0] or 0
     steps = fit_rates(slim, share / share.sum() * total * all_tokens, **options)
     return soft.withColumn("rate", _rate_udf(steps)(F.col("posteriors")) if len(steps) else F.lit(1.0))

@@ -92,8 +92,8 @@ def _detect_udf(window: int):
     @F.arrow_udf(_RESULT)
     def detect(text: pa.Array) -> pa.Array:
         rows = []
-        for t in text:
-            found = find_entities(t := t.as_py())
+        for t in text.to_pylist():
+            found = find_entities(t)
             near = nearby(t, found, window) if found else []
             rows.append({
                 "spans": [{"kind": k, "start": a, "end": b} for k, a, b in found],
@@ -111,8 +111,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
 
     for batch in batches:
-        for t in batch.column(0):
-            counts.update(words(t.as_py()))
+        for t in batch.column(0).to_pylist():
+            counts.update(words(t))
             if len(counts) > 200_000:  # bounded memory; the shuffle adds up
                 yield flush()
                 counts.clear()

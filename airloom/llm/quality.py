@@ -54,7 +54,7 @@ def votes(text: str | None) -> list[int]:
 
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
 def _votes(text: pa.Array) -> pa.Array:
-    return pa.array([votes(t.as_py()) for t in text], pa.list_(pa.int32()))
+    return pa.array([votes(t) for t in text.to_pylist()], pa.list_(pa.int32()))
 
 
 def weigh(patterns: Sequence[Sequence[int]], counts: Sequence[int], rounds: int = 500, close: float = 1e-9) -> tuple[np.ndarray, np.ndarray]:
@@ -96,12 +96,12 @@ def weak_label(votes_: Sequence[int], share: np.ndarray, chance: np.ndarray) ->
 def _posterior(share: np.ndarray, chance: np.ndarray):
     @F.arrow_udf(T.DoubleType())
     def weak(text: pa.Array) -> pa.Array:
-        return pa.array([weak_label(votes(t.as_py()), share, chance) for t in text], pa.float64())
+        return pa.array([weak_label(votes(t), share, chance) for t in text.to_pylist()], pa.float64())
 
     return weak
 
 
-def rate_quality(docs: DataFrame, fit_rows: int = 10_000, size: int = 1 << 16, least: float = 0.5) -> DataFrame:
+def rate_quality(docs: DataFrame, fit_rows: int = 10_000, size: int = 1 << 15, least: float = 0.3) -> DataFrame:
     """Adds weak (the labellers' posterior), quality (the scorer's probability of a good text) and keep.
 
     Heuristic labellers vote on every whole text. Their votes are counted by pattern over all documents

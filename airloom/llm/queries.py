@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airloom.llm import decontaminate, forest, jaccard, licenses, mixing, pii, quality, quotes, shards, urls
+from airloom.llm.common import small_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -20,7 +22,7 @@ TARGETS = {"clean": 0.95, "toxic": 0.03, "junk": 0.02}
 
 def op1_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    mixed = mixing.mix(docs, mixing.domains_of(_table(spark, sf_dir, "labels")), TARGETS)
+    mixed = mixing.mix(docs, mixing.domains_of(_table(spark, sf_dir, "labels")), TARGETS, columns=["doc_id"])
     return mixed.select("doc_id", "tokens", *[F.get("posteriors", F.lit(i)).alias(f"p_{n}") for i, n in enumerate(TARGETS)], "rate")
 
 
