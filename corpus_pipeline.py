@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from airloom.llm import decontaminate, jaccard, mixing, quality, shards
-from airloom.llm.common import save
+from airloom.llm.common import save, small_batches
 
 #: Shares of tokens by domain after mixing; rates of plain good text come out at about 1 or more.
 MIXTURE = {"clean": 0.95, "toxic": 0.04, "junk": 0.01}
@@ -24,27 +24,32 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weak-label classifier rejects go."""
+    small_batches(spark)
     return quality.keep_good(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    small_batches(spark)
     return jaccard.deduplicate(docs)
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
+    small_batches(spark)
     return decontaminate.remove_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are drawn as often as their fitted rates say."""
+    small_batches(spark)
     labelled = mixing.domains_of(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return mixing.draw(mixing.mix(docs, labelled, MIXTURE))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their shard and slot."""
+    small_batches(spark)
     return shards.interleave(docs, SHARDS, tie=("text",))
 
 
