@@ -77,7 +77,7 @@ def signature_rules() -> list[tuple[str, str, str, str, int, float]]:
             licence = "(?: licen[cs]e)?" if second == "under" else " licen[cs]e"
             for v in VERSIONED[label]:
                 number = v.removesuffix(".0").replace(".", " ") + ("" if "." in v.removesuffix(".0") else "(?: 0)?")
-                numbered = f"{name}{licence}{_VERSION} {number}(?: only| or later| or any later version)?"
+                numbered = f"{name}{licence}{_VERSION} v?{number}(?: only| or later| or any later version)?"
                 rules.append((f"{label}-{v}", key, second, form.partition("{0}")[0] + numbered, priority + 5, round(sure + 0.04, 2)))
     parts = [("by", "attribution"), ("by-sa", "attribution share ?alike"), ("by-nc", "attribution non ?commercial"),
              ("by-nd", "attribution no ?deriv(?:ative)?s"), ("by-nc-sa", "attribution non ?commercial share ?alike"),
