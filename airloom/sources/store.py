@@ -4,12 +4,16 @@ The feature table is keyed by (station, datetime) and partitioned by (station_bu
 time filter prunes months, an upsert rewrites only the partitions it touches. One writer at a time.
 """
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import deduplicate
 from ..schema import KEY, RETENTION_YEARS
+from ..session import new_path
 
 PARTITIONS = ["station_bucket", "month"]
 BUCKETS = 64
@@ -45,13 +49,31 @@ def alignment_losses(df: DataFrame, stored: T.StructType) -> DataFrame:
 
 # --- writing --------------------------------------------------------------------------------
 
-def _note_buckets(spark: SparkSession, path: str, buckets: int) -> None:
-    """The bucket count belongs to the table: an upsert must place a station where it was."""
-    spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path}/_layout")
+def _note_layout(spark: SparkSession, path: str, buckets: int, schema: T.StructType) -> None:
+    """The bucket count belongs to the table: an upsert must place a station where it was. The
+    schema lets a table without rows be read."""
+    layout = spark.createDataFrame([(buckets, schema.json())], "buckets int, schema string")
+    layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/_layout")
+
+
+def _noted_layout(spark: SparkSession, path: str) -> tuple[int, T.StructType]:
+    noted = spark.read.schema("buckets int, schema string").parquet(f"{path}/_layout").first()
+    return noted.buckets, T.StructType.fromJson(json.loads(noted.schema))
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    fs, _ = _file_system(spark, path)
+    return fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_layout"))
 
-def _noted_buckets(spark: SparkSession, path: str) -> int:
-    return spark.read.schema("buckets int").parquet(f"{path}/_layout").first().buckets
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_noted_layout(spark, path)[1]).parquet(path)
 
 
 def _write_partitions(df: DataFrame, path: str, dynamic: bool) -> None:
@@ -66,7 +88,7 @@ def _write_partitions(df: DataFrame, path: str, dynamic: bool) -> None:
 def read_table(spark: SparkSession, path: str, since=None, before=None) -> DataFrame:
     """The table, or its rows from ``since`` / up to ``before`` (datetimes): the months outside are
     not read."""
-    df = spark.read.parquet(path)
+    df = _stored(spark, path)
     if since is not None:
         df = df.filter((F.col("month") >= since.year * 100 + since.month)
                        & (F.col("datetime") >= F.lit(since).cast("timestamp_ntz")))
@@ -91,14 +113,29 @@ def read_recent(
 
 
 def rebuild(df: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
-    """Replace the whole feature table; its version stays the same. Returns the verification row."""
-    _write_partitions(_with_partitions(plain_names(df), buckets), path, dynamic=False)
-    _note_buckets(df.sparkSession, path, buckets)
-    report = verify(read_table(df.sparkSession, path))
-    duplicates = report.select("duplicate_keys").first()[0]
-    if duplicates:
-        raise ValueError(f"{duplicates} rows share their (station, datetime) with another row")
-    return report
+    """Replace the whole feature table; its version stays the same. Returns the verification row.
+
+    The new table is written beside the old one and checked there: keys must not be null or repeated.
+    Only a table that passes takes the old one's place."""
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    rows = _with_partitions(plain_names(df), buckets)
+    _write_partitions(rows, staged, dynamic=False)
+    _note_layout(spark, staged, buckets, rows.schema)
+    written = read_table(spark, staged)
+    report = verify(written).collect()[0]
+    lost = written.filter(F.col("station").isNull() | F.col("datetime").isNull()).count()
+    fs, folder = _file_system(spark, staged)
+    if report.duplicate_keys or lost:
+        fs.delete(folder, True)
+        raise ValueError(
+            f"{report.duplicate_keys} rows share their (station, datetime) with another row, {lost} have none; the old table stays")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs.mkdirs(target.getParent())
+    fs.delete(target, True)
+    if not fs.rename(folder, target):
+        raise OSError(f"the checked table stays in {staged}")
+    return spark.createDataFrame([report], verify(written).schema)
 
 
 def verify(stored: DataFrame, expected_rows: int | None = None) -> DataFrame:
@@ -113,6 +150,14 @@ def verify(stored: DataFrame, expected_rows: int | None = None) -> DataFrame:
     return report.withColumn("matches", F.col("rows") == F.lit(expected_rows))
 
 
+def _refuse_losses(batch: DataFrame, stored: T.StructType) -> None:
+    """Raise if a value would turn null on its way into the store, or a key is null already."""
+    lost = {r["column"]: r["lost_values"] for r in alignment_losses(batch, stored).collect() if r["lost_values"]}
+    missing = batch.filter(F.col("station").isNull() | F.col("datetime").isNull()).count()
+    if lost or missing:
+        raise ValueError(f"values that do not fit their columns: {lost}; rows without a key: {missing}; nothing is written")
+
+
 def _touched(batch: DataFrame) -> Column | None:
     """Filter for the partitions of a batch, or None when there are too many to list."""
     rows = batch.select(*PARTITIONS).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
@@ -141,11 +186,16 @@ def latest_wins(stored: DataFrame, batch: DataFrame, seq: str | None = None) ->
 
 def upsert(batch: DataFrame, path: str, seq: str | None = None) -> None:
     """Insert or replace rows by key. Reads and rewrites only the partitions the batch touches;
-    writing the same batch again changes nothing, so a repeated run is safe."""
+    writing the same batch again changes nothing, so a repeated run is safe. A batch with a null key or
+    a value that does not fit its stored column is refused whole, before anything is written."""
     spark = batch.sparkSession
-    stored = spark.read.parquet(path)
-    rows = align_to(plain_names(batch), stored.schema)
-    rows = _with_partitions(rows, _noted_buckets(spark, path))
+    staged = new_path(spark, "batch")  # the batch is computed once and read several times
+    plain_names(batch).write.parquet(staged)
+    batch = spark.read.schema(plain_names(batch).schema).parquet(staged)
+    buckets, schema = _noted_layout(spark, path)
+    stored = _stored(spark, path)
+    _refuse_losses(batch, schema)
+    rows = _with_partitions(align_to(batch, schema), buckets)
     touched = _touched(rows)
     if touched is None:
         kept = stored.join(F.broadcast(rows.select(*PARTITIONS).distinct()), PARTITIONS, "left_semi")
@@ -163,7 +213,7 @@ def retain(df: DataFrame, as_of, years: int = RETENTION_YEARS) -> DataFrame:
 def prune(spark: SparkSession, path: str, as_of, years: int = RETENTION_YEARS) -> None:
     """Delete rows past retention: older month folders are removed, the boundary month is
     rewritten. Off unless called."""
-    stored = spark.read.parquet(path)
+    stored = _stored(spark, path)
     cutoff = spark.range(1).select(
         (F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {years} YEAR")).alias("t")).first().t
     month = cutoff.year * 100 + cutoff.month
@@ -178,7 +228,7 @@ def _remove_folders(spark: SparkSession, path: str, boundary_month: int, cutoff)
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(conf)
     kept = {
-        r.station_bucket for r in spark.read.parquet(path)
+        r.station_bucket for r in _stored(spark, path)
         .filter((F.col("month") == boundary_month) & (F.col("datetime") >= F.lit(cutoff).cast("timestamp_ntz")))
         .select("station_bucket").distinct().collect()  # at most one row per bucket
     }
@@ -230,6 +280,13 @@ def snapshot_metadata(spark: SparkSession, path: str) -> DataFrame:
         *of("train"), *of("test"), F.count("*").alias("rows"))
 
 
+def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A CSV table with a header, its columns found by name and cast; their order in the file does not
+    matter. A missing column or a value that does not fit raises."""
+    texts = spark.read.option("header", True).csv(path)
+    return texts.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+
+
 def update_mirror(batch: DataFrame, path: str, as_of, years: int = RETENTION_YEARS) -> DataFrame:
     """CSV mirror of the feature table: append, keep the last row of a key, then trim to the
     retention period. Each update is a new generation, so a failed write leaves the old one whole."""
@@ -237,11 +294,10 @@ def update_mirror(batch: DataFrame, path: str, as_of, years: int = RETENTION_YEA
     generations = _versions(spark, path, "generation")
     combined = batch
     if generations:
-        stored = spark.read.schema(batch.schema).option("header", True).csv(f"{path}/generation={generations[-1]}")
-        combined = latest_wins(stored, batch)
+        combined = latest_wins(read_csv_by_name(spark, f"{path}/generation={generations[-1]}", batch.schema), batch)
     target = f"{path}/generation={max(generations, default=0) + 1}"
     write_csv(retain(combined, as_of, years), target)
-    return spark.read.schema(batch.schema).option("header", True).csv(target)
+    return read_csv_by_name(spark, target, batch.schema)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

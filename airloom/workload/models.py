@@ -289,7 +289,7 @@ def boosted(spark, sf_dir):
 @register("m6_t3_feature_importance")
 def importance(spark, sf_dir):
     _, models, _ = fitted(spark, sf_dir)
-    return comparable(X.importance(models.filter("horizon = 24"), F.col("coefficients"), PREDICTORS, 5))
+    return comparable(X.importance(models.filter("horizon = 24"), F.col("coefficients"), PREDICTORS, 10))
 
 
 @register("m5_e3_train_and_select")

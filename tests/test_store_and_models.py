@@ -13,7 +13,8 @@ from airloom.plans.forecast import forecast
 from airloom.plans.training import add_split, cv_blocks
 from airloom.schema import TARGETS
 from airloom.session import new_path
-from airloom.sources import store
+from airloom.sources import landing, store
+from airloom.streaming import incremental
 
 
 def rows_of(df):
@@ -191,3 +192,55 @@ def test_linear_contributions_add_up(spark, samples):
 def test_perfect_forecast(spark):
     df = spark.createDataFrame([(1.0, 1.0), (5.0, 5.0)], "y double, p double")
     assert regression_metrics(df, "y", "p").first().r2 == 1.0
+
+
+def test_rejected_rebuild_keeps_the_table(spark, series):
+    path = new_path(spark, "t")
+    store.rebuild(series([1.0, 2.0]), path, buckets=2)
+    with pytest.raises(ValueError, match="old table stays"):
+        store.rebuild(series([1.0]).unionByName(series([2.0])), path, buckets=2)
+    assert store.read_table(spark, path).count() == 2
+
+
+def test_tables_without_rows(spark, series):
+    path = new_path(spark, "t")
+    assert store.rebuild(series([]), path, buckets=2).first()["rows"] == 0
+    store.upsert(series([1.0, 2.0]), path)
+    store.upsert(series([]), path)
+    assert store.read_table(spark, path).count() == 2
+
+
+def test_upsert_refuses_values_that_do_not_fit(spark, series):
+    path = new_path(spark, "t")
+    store.rebuild(series([1.0]).withColumn("day", F.lit(1)), path, buckets=2)
+    for bad in (series([2.0]).withColumn("day", F.lit(5_000_000_000)), series([2.0], station=None).withColumn("day", F.lit(1))):
+        with pytest.raises(ValueError, match="nothing is written"):
+            store.upsert(bad, path)
+    assert [tuple(r) for r in store.read_table(spark, path).select("us_aqi", "day").collect()] == [(1.0, 1)]
+
+
+def test_csv_columns_are_found_by_name(spark, series):
+    path = new_path(spark, "csv")
+    rows = series([1.0, None]).withColumn("pm10", F.lit(20.0))
+    rows.select("pm10", "us_aqi", "datetime", "station").write.option("header", True).csv(path)
+    got = store.read_csv_by_name(spark, path, rows.schema)
+    assert sorted(map(str, got.collect())) == sorted(map(str, rows.collect()))
+
+
+@pytest.mark.parametrize("line", [
+    '{"station": 1, "hourly": {"time": ["2024-01-01T00:00"', '{"station": 1, "hourly": {"time": ["2024-01-01T00:00"], "us_aqi": ["bad"]}}',
+    '{"station": 1, "hourly": {"time": ["2024-01-01T00:00"], "us_aqi": [1.0, 2.0]}}', '{"hourly": {"time": ["2024-01-01T00:00"], "us_aqi": [1.0]}}',
+    '{"station": 1, "hourly": {"time": [null], "us_aqi": [1.0]}}',
+])
+def test_broken_payloads_raise(spark, line):
+    path = new_path(spark, "json")
+    spark.createDataFrame([('{"station": 2, "hourly": {"time": ["2024-01-01T00:00"], "us_aqi": [3.0]}}',), (line,)], "value string").write.text(path)
+    with pytest.raises(Exception):  # noqa: B017
+        landing.read_payloads(spark, path, ["us_aqi"]).collect()
+
+
+def test_refresh_of_a_table_that_does_not_exist(spark, series):
+    path, raw = new_path(spark, "t"), series([float(i % 50) for i in range(300)])
+    plan = lambda rows, holidays, seq: rows
+    incremental.refresh(raw, path, None, plan=plan)
+    assert store.read_table(spark, path).count() == 300
