@@ -145,7 +145,8 @@ def revealing_terms(detected: DataFrame, docs: DataFrame, threshold: float = 0.9
     return both.withColumn("disclosure", disclosure).where(F.col("disclosure") >= threshold)
 
 
-def find_private(docs: DataFrame, window: int = 6, threshold: float = 0.9, support: int = 20) -> DataFrame:
+def find_private(docs: DataFrame, window: int = 6, threshold: float = 0.9, support: int = 20,
+                 columns: list[str] | None = None) -> DataFrame:
     """Adds `private`: array of (kind, start, end) in code points, by kind as in KINDS and then terms, then start.
 
     Emails, addresses, cards and phone numbers are found by pattern in whole texts. Terms whose
@@ -156,12 +157,14 @@ def find_private(docs: DataFrame, window: int = 6, threshold: float = 0.9, suppo
     by a row number that is written first; only rows with entities take part.
 
     Null or empty text: no spans. Repeated rows: each is searched and counted. Empty table: no rows. A
-    column called private is replaced; all others stay.
+    column called private is replaced; all others stay, or only `columns`.
     """
     docs = docs.drop("private")
+    carried = docs.columns if columns is None else columns
     row, hit = free_name(docs, "row"), free_name(docs, "hit")
     detected = save(
-        docs.withColumn(row, F.monotonically_increasing_id()).withColumn(hit, _detect_udf(window)("text")), "detected")
+        docs.withColumn(row, F.monotonically_increasing_id()).withColumn(hit, _detect_udf(window)("text")).select(
+            *[f"`{c}`" for c in carried], row, hit), "detected")
     near = detected.select(F.col(row).alias("n"), F.col(f"{hit}.near").alias("near"))
     terms = revealing_terms(near, docs, threshold, support).select("kind", "term")
     places = near.select("n", F.explode("near").alias("x")).select("n", "x.kind", "x.term", "x.start", "x.end")
@@ -170,7 +173,7 @@ def find_private(docs: DataFrame, window: int = 6, threshold: float = 0.9, suppo
     joined = detected.join(places, detected[row] == places["n"], "left")
     none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")
     return joined.select(
-        *[detected[f"`{c}`"] for c in docs.columns], F.concat(F.col(f"{hit}.spans"), F.coalesce("terms", none)).alias("private"))
+        *[detected[f"`{c}`"] for c in carried], F.concat(F.col(f"{hit}.spans"), F.coalesce("terms", none)).alias("private"))
 
 
 def redact(text: Column, private: Column) -> Column:

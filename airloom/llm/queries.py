@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm import decontaminate, forest, jaccard, licenses, mixing, pii, quality, quotes, shards, urls
+from airloom.llm import decontaminate, forest, jaccard, licenses, mixing, pii, quality, quotes, shards, sql, urls
 from airloom.llm.common import small_batches
 
 
@@ -56,7 +56,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.summary(pii.find_private(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return pii.summary(pii.find_private(_table(spark, sf_dir, "documents").select("doc_id", "text"), columns=["doc_id"]))
 
 
 def op8_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,4 +82,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Trained models (1, 5), corpus-wide disclosure (7), quotation links (9) and approximate search (10) have none."""
+    rules = [(label, key, second, licenses.padded(pattern), priority, sure, i)
+             for i, (label, key, second, pattern, priority, sure) in enumerate(licenses.signature_rules())]
+    return {
+        "op2_decontaminate": sql.leaks(), "op3_jaccard_join": sql.jaccard(), "op4_url_filter": sql.urls(URL_RULES),
+        "op6_license_scan": sql.licenses(rules, [(label, licenses.padded(p)) for p, label in licenses.PHRASES.items()]),
+        "op8_interleaved_shards": sql.shards(8),
+    }
