@@ -50,7 +50,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their shard and slot."""
     small_batches(spark)
-    return shards.interleave(docs, SHARDS, tie=("text",))
+    return shards.interleave(docs, SHARDS)
 
 
 STAGES: list[tuple[str, Stage]] = [
