@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from llm_fixtures import make  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 

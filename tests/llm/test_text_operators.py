@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+from llm_fixtures import make  # noqa: F401
 import pytest
 
 from airloom.llm import decontaminate, jaccard, licenses, mixing, pii, quality
