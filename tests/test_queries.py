@@ -5,6 +5,7 @@ from conftest import SF
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from airloom import workload
 from airloom.operators.skew import DEFAULT_MAX_ROWS, MAX_ROWS_SETTING
 
 SLOW = {"i1_stream_refresh"}
@@ -19,7 +20,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(workload.oracle_sql()) - SLOW))
 def test_query(spark, con, name):
     got = entry.queries()[name](spark, SF).toPandas()
     assert compare(got, con.execute(entry.oracle_sql()[name]).df()) == ""
