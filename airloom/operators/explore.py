@@ -1,9 +1,5 @@
 """Exploratory aggregates."""
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,41 +80,12 @@ def top_correlated(df: DataFrame, n: int = 15, target: str = TARGET, cols: list[
 
 def correlation_matrix(df: DataFrame, n: int = 15, target: str = TARGET, cols: list[str] | None = None) -> DataFrame:
     """Pairwise correlations (over rows where both are present) of the ``n`` columns closest to the
-    target, long form. One pass ranks the columns (``n`` names and means come back); one pass adds
-    up the products of the centred columns, a small matrix per task."""
+    target, long form. One pass ranks the columns (``n`` names come back), one aggregate has all
+    pairs."""
     names = [r["column"] for r in top_correlated(df, n, target, cols).collect()]
-    size = len(names)
-    centre = df.agg(*[F.avg(c).alias(c) for c in names]).first()
-    centred = df.select(*[(F.col(c) - F.lit(centre[c])).alias(f"x{i}") for i, c in enumerate(names)])
-
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((4, size, size))
-        for batch in batches:
-            x = batch.to_numpy(dtype="float64")
-            here = (~np.isnan(x)).astype("float64")
-            x = np.nan_to_num(x)
-            total += np.stack([here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x])
-        yield pd.DataFrame({"sums": [total.ravel()]})
-
-    summed = (
-        centred.mapInPandas(add_up, "sums array<double>")
-        .select(F.posexplode("sums").alias("at", "value"))
-        .groupBy("at").agg(F.sum("value").alias("value")))
-    cells = summed.select(
-        F.expr(f"at div {size * size}").alias("kind"), F.expr(f"at div {size} % {size}").alias("i"),
-        F.expr(f"at % {size}").alias("j"), "value")
-
-    def part(kind: int, mine: bool):
-        return F.sum(F.when((F.col("kind") == kind) & (F.col("mine") == mine), F.col("value")))
-
-    one_way = F.struct("i", "j", F.lit(True).alias("mine"))
-    other_way = F.struct(F.col("j").alias("i"), F.col("i").alias("j"), F.lit(False).alias("mine"))
-    pairs = cells.select("kind", "value", F.inline(F.array(one_way, other_way))).groupBy("i", "j").agg(
-        part(0, True).alias("n"), part(3, True).alias("xy"),
-        part(1, True).alias("x"), part(1, False).alias("y"), part(2, True).alias("xx"), part(2, False).alias("yy"))
-    spread = F.sqrt((F.col("n") * F.col("xx") - F.col("x") ** 2) * (F.col("n") * F.col("yy") - F.col("y") ** 2))
-    named = F.array(*[F.lit(c) for c in names])
-    return pairs.select(
-        F.element_at(named, (F.col("i") + 1).cast("int")).alias("column_a"),
-        F.element_at(named, (F.col("j") + 1).cast("int")).alias("column_b"),
-        F.try_divide(F.col("n") * F.col("xy") - F.col("x") * F.col("y"), spread).alias("corr"))
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    one_row = df.agg(*[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+    cells = [
+        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"p{i}").alias("corr"))
+        for i, pair in enumerate(pairs) for a, b in sorted({pair, pair[::-1]})]
+    return one_row.select(F.inline(F.array(*cells)))

@@ -53,6 +53,26 @@ def cv_blocks(df: DataFrame, folds: int = FOLDS, hot: HotStations | None = None)
     )
 
 
+def pooled_cv_blocks(df: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """``cv_block`` 0..folds for one model over all stations: cut by time over all rows, so that no
+    fold trains on a row later than its test rows. Rows of one hour share a block; for one station
+    of hourly rows the blocks are those of :func:`cv_blocks`.
+
+    The running count is over the hours of the calendar (8,766 a year), however many the rows."""
+    hour = F.date_trunc("hour", F.col("datetime"))
+    hours = df.groupBy(hour.alias("_hour")).agg(F.count("*").alias("_rows"))
+    in_time = Window.partitionBy(F.lit(1)).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    counted = hours.withColumns({
+        "_pos": F.coalesce(F.sum("_rows").over(in_time), F.lit(0)),
+        "_n": F.sum("_rows").over(Window.partitionBy(F.lit(1)))})
+    test = F.greatest(F.expr(f"_n div {folds + 1}"), F.lit(1))
+    behind = F.col("_pos") + 1 - (F.col("_n") - folds * F.expr(f"_n div {folds + 1}"))
+    block = F.greatest(F.lit(0), F.ceil(behind / test)).cast("int")
+    return (
+        df.withColumn("_hour", hour)
+        .join(counted.select("_hour", block.alias("cv_block")), "_hour").drop("_hour"))
+
+
 def order_violations(df: DataFrame, seq: str, chunk_rows: int = 1_000_000) -> DataFrame:
     """Per station: rows that arrived (by ``seq``) with an earlier time than the row before them.
 

@@ -10,20 +10,20 @@ from ..plans.training import training_ready, warmed_up
 from ..schema import (
     BEARINGS, EDGE_SENSITIVE, LOW_VALUE_FEATURES, POINT_COLUMNS, POLLUTANT_SHORT_NAMES,
 )
-from ..sources.holidays import flag_holidays, holiday_calendar
+from ..sources.holidays import flag_holidays, holidays_of
 from .catalog import comparable, comparable_sql, register
 from .sql import change_sql, cleaned_sql, lag_sql, lead_sql, rolling_sql
 from .sources import WIDE_POINTS_SQL
-from .views import ALL_VARS, HOURLY_SQL, obs, obs_sql, points
+from .views import ALL_VARS, HOURLY_SQL, obs, obs_sql, points, table
 from .explore import hourly_obs
 
 KEYS_SQL = obs_sql(["us_aqi"])
-YEARS = (1990, 2030)
 
 
-def holidays(spark):
-    """Fixed civil dates only, so that the comparison SQL can state them."""
-    return holiday_calendar(spark, *YEARS, lunar=False)
+def holidays(spark, sf_dir):
+    """Civil dates of the years in the data, so that the comparison SQL can state them."""
+    days = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("datetime"))
+    return holidays_of(days, lunar=False)
 
 
 HOLIDAY_DAYS = ["02-05", "03-23", "05-01", "08-14", "11-09", "12-25"]  # fixed values: civil holidays
@@ -52,7 +52,7 @@ def weekend_rush(spark, sf_dir):
 @register("f4_j4_public_holidays",
           f"SELECT station, datetime, CAST({IS_HOLIDAY} AS BIGINT) AS is_public_holiday FROM ({KEYS_SQL}) AS o")
 def public_holidays(spark, sf_dir):
-    return comparable(flag_holidays(obs(spark, sf_dir, ["us_aqi"]), holidays(spark)).drop("us_aqi"))
+    return comparable(flag_holidays(obs(spark, sf_dir, ["us_aqi"]), holidays(spark, sf_dir)).drop("us_aqi"))
 
 
 def _cycle_sql(c: str, period: int, name: str) -> str:
@@ -140,7 +140,7 @@ def features(spark, sf_dir):
     rows = observations(spark, sf_dir)
     # stations of the left join are those of the weather side: count there, not over the join
     hot = find_hot_stations(obs(spark, sf_dir, ["us_aqi"]))
-    return P.feature_plan(rows, holidays(spark), hot=hot)
+    return P.feature_plan(rows, holidays(spark, sf_dir), hot=hot)
 
 
 _RAW_COLUMNS = ALL_VARS + POINT_COLUMNS

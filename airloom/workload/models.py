@@ -184,7 +184,7 @@ def gram(spark, sf_dir):
 
 def fitted(spark, sf_dir):
     rows = learnable(spark, sf_dir)
-    train = T.cv_blocks(rows.filter("split = 'train'"))
+    train = T.pooled_cv_blocks(rows.filter("split = 'train'"))
     models, stats = ridge.fit_ridge(train, PREDICTORS, weight=ridge.period_weight(OUTLIER_END))
     return rows, models, stats
 
@@ -264,7 +264,7 @@ SMALL_BOOSTED = [{"maxIter": 5, "maxDepth": 3, "stepSize": 0.1}]
 
 
 def tree_rows(spark, sf_dir):
-    rows = T.cv_blocks(learnable(spark, sf_dir).filter("split = 'train'"))
+    rows = T.pooled_cv_blocks(learnable(spark, sf_dir).filter("split = 'train'"))
     return trees.assemble(rows.withColumn("weight", ridge.period_weight(OUTLIER_END)), PREDICTORS).select(
         "features", "weight", "cv_block", "target_us_aqi_24h_ahead")
 

@@ -207,7 +207,7 @@ def selection(spark, sf_dir):
 
 
 _SINCE_SQL = (
-    "SELECT station, least(min(datetime), max(datetime) - INTERVAL 72 DAY) AS since FROM (SELECT *, "
+    "SELECT station, CASE WHEN count(*) > 72 THEN least(min(datetime), max(datetime) - INTERVAL 72 DAY) END AS since FROM (SELECT *, "
     f"row_number() OVER (PARTITION BY station ORDER BY datetime DESC) AS rn FROM ({EARLY_SQL}) AS e) AS r WHERE rn <= 73 GROUP BY 1")
 
 
@@ -257,8 +257,19 @@ def refreshed(spark, sf_dir):
     """Backfill up to a cut, then one refresh: the table must equal a full rebuild."""
     raw = dense(obs(spark, sf_dir, VARIABLES))
     path = new_path(spark, "incremental")
-    incremental.backfill(raw.filter(~since(CUT)), path, holidays(spark), buckets=BUCKETS)
-    incremental.refresh(raw, path, holidays(spark), repair="72 days")
+    incremental.backfill(raw.filter(~since(CUT)), path, holidays(spark, sf_dir), buckets=BUCKETS)
+    incremental.refresh(raw, path, holidays(spark, sf_dir), repair="72 days")
+    return comparable(store.read_table(spark, path).select("station", "datetime", *STORED))
+
+
+@register("i1_late_rows", _stored_sql())
+def refreshed_after_late_rows(spark, sf_dir):
+    """Rows from long before the last stored one arrive late: the refresh must also make their features."""
+    raw = dense(obs(spark, sf_dir, VARIABLES))
+    late = since("1998-03-01") & ~since("1998-06-01")
+    path = new_path(spark, "late")
+    incremental.backfill(raw.filter(~late), path, holidays(spark, sf_dir), buckets=BUCKETS)
+    incremental.refresh(raw, path, holidays(spark, sf_dir), repair="72 days")
     return comparable(store.read_table(spark, path).select("station", "datetime", *STORED))
 
 
@@ -269,13 +280,13 @@ def refreshed_by_stream(spark, sf_dir):
     raw = dense(obs(spark, sf_dir, VARIABLES))
     landed, raw_path, path, checkpoint = (new_path(spark, n) for n in ("landed", "raw", "features", "progress"))
     store.rebuild(raw.filter(~since(CUT)), raw_path, BUCKETS)
-    incremental.backfill(raw.filter(~since(CUT)), path, holidays(spark), buckets=BUCKETS)
+    incremental.backfill(raw.filter(~since(CUT)), path, holidays(spark, sf_dir), buckets=BUCKETS)
     for begin, end in ((CUT, "2001-08-15"), ("2001-08-01", "2002-01-01")):
         arrived = raw.filter(since(begin) & ~since(end))
         landing.to_payloads(arrived, names).write.mode("append").json(landed)
         stream = spark.readStream.schema(landing.payload_schema(names)).json(landed)
         incremental.run_refresh_stream(
-            spark, landing.explode_payload(stream, names), raw_path, path, checkpoint, holidays(spark), "72 days")
+            spark, landing.explode_payload(stream, names), raw_path, path, checkpoint, holidays(spark, sf_dir), "72 days")
     return comparable(store.read_table(spark, path).select("station", "datetime", *STORED))
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import windows as X
 from ..operators.clean import clean, deduplicate
 from ..operators.skew import find_hot_stations, with_position
-from ..plans.training import cv_blocks, order_violations
+from ..plans.training import cv_blocks, order_violations, pooled_cv_blocks
 from ..operators.recent import last_rows
 from ..schema import POLLUTANT_SHORT_NAMES
 from . import views
@@ -116,6 +116,16 @@ def expanding_blocks(spark, sf_dir):
         "station", "datetime", F.col("cv_block").cast("bigint").alias("cv_block"))
 
 
+@register("w17_pooled_folds",
+          f"WITH h AS (SELECT date_trunc('hour', datetime) AS hour, count(*) AS c FROM ({obs_sql(AQI)}) AS o GROUP BY 1), "
+          "b AS (SELECT hour, coalesce(sum(c) OVER (ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier, "
+          "sum(c) OVER () AS n FROM h) SELECT station, datetime, CAST(greatest(0, ceil((earlier + 1 - (n - 3 * (n // 4))) / "
+          f"CAST(greatest(n // 4, 1) AS DOUBLE))) AS BIGINT) AS cv_block FROM ({obs_sql(AQI)}) AS o JOIN b ON date_trunc('hour', datetime) = hour")
+def pooled_blocks(spark, sf_dir):
+    return pooled_cv_blocks(obs(spark, sf_dir, AQI)).select(
+        "station", "datetime", F.col("cv_block").cast("bigint").alias("cv_block"))
+
+
 @register("w18_last_rows", comparable_sql(
     "SELECT *, row_number() OVER (PARTITION BY station ORDER BY datetime DESC) AS rn "
     f"FROM ({obs_sql(AQI)}) AS o", "station datetime", "us_aqi") + " WHERE rn <= 48")
