@@ -244,6 +244,20 @@ def test_private_terms_by_cooccurrence(make):
     assert summary["n_email"] == 0 and summary["base_sha256"] == hashlib.sha256(b"").hexdigest() and summary["spans"] == ""
 
 
+def test_private_terms_are_marked_in_the_whole_corpus(make):
+    rng = random.Random(10)
+    far = prose(rng, 12)
+    docs = [(i, f"{prose(rng, 30)} reachme me{i}@mail.example.org {prose(rng, 30)}") for i in range(80)] + [
+        (500 + i, f"{prose(rng, 20)} Zebulon boss@corp.example.com {prose(rng, 20)}") for i in range(15)] + [
+        (600, f"zebulon {far} boss@corp.example.com {far} Reachme"), (601, f"{far} ZEBULON reachme"), (602, "chance other@x.example.com")] + [
+        (1000 + i, prose(rng, 80)) for i in range(400)]
+    rows = {r["doc_id"]: r for r in pii.find_private(make(docs), window=2).collect()}
+    terms = lambda i: [rows[i]["text"][s["start"] : s["end"]] for s in rows[i]["private"] if s["kind"] == "term"]
+    assert all(terms(500 + i) == ["Zebulon"] for i in range(15))  # beside one address, fewer than 20 times
+    assert terms(600) == ["zebulon", "Reachme"] and terms(601) == ["ZEBULON", "reachme"]  # beyond the window, and without an entity
+    assert terms(602) == [] and all(not terms(1000 + i) for i in range(400))  # once is chance
+
+
 def test_mixture_meets_targets(spark, make):
     rng = random.Random(9)
     vocabulary = {"a": "apple ant acorn arc", "b": "bean bat bell bow", "c": "cat cow cup car"}
