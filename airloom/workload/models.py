@@ -11,6 +11,7 @@ from ..operators.windows import rolling, targets
 from ..plans import forecast as P
 from ..plans import train as E
 from ..plans import training as T
+from ..plans.features import feature_columns, horizon_features
 from ..schema import HORIZONS, TARGETS
 from ..session import new_path
 from ..sources import store
@@ -259,31 +260,43 @@ def ridge_by_group(spark, sf_dir):
 
 # --- trees ------------------------------------------------------------------------------------
 
-SMALL_FOREST = [{"numTrees": 10, "maxDepth": 4}, {"numTrees": 10, "maxDepth": 6, "featureSubsetStrategy": "sqrt"}]
-SMALL_BOOSTED = [{"maxIter": 5, "maxDepth": 3, "stepSize": 0.1}]
+def trainable(spark, sf_dir):
+    """Training-ready rows of the whole feature table and their split, written once like those of learnable."""
+    path = new_path(spark, "trainable")
+    T.training_ready(features(spark, sf_dir)).write.parquet(path)
+    return T.add_split(spark.read.parquet(path), "1 day")
+
+
+def parts(spark, sf_dir):
+    rows = trainable(spark, sf_dir)
+    return [rows.filter(F.col("split") == s).drop("split") for s in ("train", "test")]
 
 
 def tree_rows(spark, sf_dir):
-    rows = T.pooled_cv_blocks(learnable(spark, sf_dir).filter("split = 'train'"))
-    return trees.assemble(rows.withColumn("weight", ridge.period_weight(OUTLIER_END)), PREDICTORS).select(
-        "features", "weight", "cv_block", "target_us_aqi_24h_ahead")
+    """Complete rows of the feature table for trees that look 24 hours ahead, and the features' names."""
+    train, _ = parts(spark, sf_dir)
+    names, label = horizon_features(feature_columns(train), 24), "target_us_aqi_24h_ahead"
+    rows = T.pooled_cv_blocks(train.na.drop(subset=[*names, label]))
+    return trees.assemble(rows.withColumn("weight", ridge.period_weight(OUTLIER_END)), names).select(
+        "features", "weight", "cv_block", label), names
 
 
-def _tuned(spark, sf_dir, make, drawn, name):
-    model, params, cv_rmse = trees.tune(tree_rows(spark, sf_dir), make, "target_us_aqi_24h_ahead", drawn)
+def _tuned(spark, sf_dir, make, grid, name):
+    ready, names = tree_rows(spark, sf_dir)
+    model, params, cv_rmse = trees.tune(ready, make, "target_us_aqi_24h_ahead", trees.draws(grid))
     rows = [(name, f, float(s), float(cv_rmse), str(sorted(params.items())))
-            for f, s in zip(PREDICTORS, model.featureImportances.toArray(), strict=True)]
+            for f, s in zip(names, model.featureImportances.toArray(), strict=True)]
     return spark.createDataFrame(rows, "model string, feature string, importance double, cv_rmse double, params string")
 
 
 @register("m2_m4_random_forest_tuned")
 def forest(spark, sf_dir):
-    return _tuned(spark, sf_dir, trees.forest, SMALL_FOREST, "random_forest")
+    return _tuned(spark, sf_dir, trees.forest, trees.FOREST_GRID, "random_forest")
 
 
 @register("m3_m4_boosted_trees_tuned")
 def boosted(spark, sf_dir):
-    return _tuned(spark, sf_dir, trees.boosted, SMALL_BOOSTED, "boosted_trees")
+    return _tuned(spark, sf_dir, trees.boosted, trees.BOOSTED_GRID, "boosted_trees")
 
 
 @register("m6_t3_feature_importance")
@@ -294,22 +307,17 @@ def importance(spark, sf_dir):
 
 @register("m5_e3_train_and_select")
 def trained(spark, sf_dir):
-    rows = learnable(spark, sf_dir)
-    part = {s: rows.filter(F.col("split") == s).drop("split") for s in ("train", "test")}
-    return E.train_all(part["train"], part["test"], horizons=(24, 48, 72),
-                       candidates={"random_forest": SMALL_FOREST[:1]}).summary()
+    train, test = parts(spark, sf_dir)
+    return E.train_all(train, test).summary()
 
 
 @register("k12_m7_registered_forecast")
 def registered_forecast(spark, sf_dir):
     """Train, register the winners, load the latest versions and score every station."""
-    rows = learnable(spark, sf_dir)
-    part = {s: rows.filter(F.col("split") == s).drop("split") for s in ("train", "test")}
+    train, test = parts(spark, sf_dir)
     path = new_path(spark, "models")
-    E.register_winners(E.train_all(part["train"], part["test"], candidates={}), spark, path, "all")
-    bundles = E.load_bundles(spark, path, "all")
-    table, _ = cleaned(spark, sf_dir, PREDICTORS)
-    return comparable(P.forecast(table, bundles))
+    E.register_winners(E.train_all(train, test), spark, path, "all")
+    return comparable(P.forecast(features(spark, sf_dir), E.load_bundles(spark, path, "all")))
 
 
 # --- forecasts from a fixed linear model: SQL can follow every step ----------------------------
@@ -424,9 +432,9 @@ def top_contributions(spark, sf_dir):
 
 @register("m10_sampled_shapley_contributions")
 def shapley(spark, sf_dir):
-    """Contributions for a boosted-tree forecast of every station."""
-    model = trees.boosted(labelCol="target_us_aqi_24h_ahead", maxIter=5, maxDepth=3).fit(tree_rows(spark, sf_dir))
-    df, _ = cleaned(spark, sf_dir, PREDICTORS)
-    back = X.sampled_background(X.background(df, PREDICTORS), PREDICTORS)
-    return comparable(X.shapley_contributions(latest_row(df), back, model, PREDICTORS))
-
+    """Contributions for a tuned boosted-tree forecast of every station with a complete row."""
+    ready, names = tree_rows(spark, sf_dir)
+    model, _, _ = trees.tune(ready, trees.boosted, "target_us_aqi_24h_ahead", trees.draws(trees.BOOSTED_GRID))
+    table = features(spark, sf_dir)
+    back = X.sampled_background(X.background(table, names), names)
+    return comparable(X.shapley_contributions(latest_row(table).na.drop(subset=names), back, model, names))

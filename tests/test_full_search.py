@@ -1,0 +1,38 @@
+"""The registered tree queries hand the whole search and the whole feature table on."""
+
+import pytest
+from conftest import SF
+
+import __spark_entry__ as entry
+from airloom.models import trees
+from airloom.plans import train
+
+
+class Asked(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name,grid", [
+    ("m2_m4_random_forest_tuned", trees.FOREST_GRID), ("m3_m4_boosted_trees_tuned", trees.BOOSTED_GRID),
+    ("m10_sampled_shapley_contributions", trees.BOOSTED_GRID)])
+def test_trees_are_tuned_over_all_draws(spark, monkeypatch, name, grid):
+    def tune(rows, make, label, candidates, *folds):
+        assert rows.count() > 0 and rows.first()["features"].size > 60
+        raise Asked(candidates)
+
+    monkeypatch.setattr(trees, "tune", tune)
+    with pytest.raises(Asked) as asked:
+        entry.queries()[name](spark, SF)
+    assert asked.value.args[0] == trees.draws(grid) and len(asked.value.args[0]) == trees.SEARCH_DRAWS
+
+
+@pytest.mark.parametrize("name", ["m5_e3_train_and_select", "k12_m7_registered_forecast"])
+def test_training_tries_every_candidate(spark, monkeypatch, name):
+    def train_all(rows, test, horizons=train.HORIZONS, candidates=None):
+        assert len(train.feature_columns(rows)) > 60 and rows.count() > 0 and test.count() > 0
+        raise Asked(horizons, candidates)
+
+    monkeypatch.setattr(train, "train_all", train_all)
+    with pytest.raises(Asked) as asked:
+        entry.queries()[name](spark, SF)
+    assert asked.value.args == (train.HORIZONS, None)
