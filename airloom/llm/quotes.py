@@ -10,6 +10,7 @@ from airloom.llm.common import free_name, let, lower_ascii, ranked, save
 _MARK = r"^[ \t]*(?:>[ \t]?)+"
 # How mail programs announce a quote, at the end of the line before it.
 _SAYS = r"(?i)(?:wrote|writes|said|schrieb|a écrit|escribió) ?:[ \t]*$"
+RUN = 5  # words in a run
 _PASSAGES = "array<struct<depth:int,lines:array<string>>>"
 
 
@@ -25,16 +26,17 @@ def _lines(text: Column) -> Column:
 
 
 def _passages(lines: Column) -> Column:
-    """Runs of lines of one depth above 0, in order."""
+    """Runs of lines of one depth above 0 without blank ones, in order; a blank quoted line ends a passage."""
     start = F.struct(F.array().cast(_PASSAGES).alias("done"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("open"))
     closed = lambda s: F.when(
         s["depth"] > 0, F.concat(s["done"], F.array(F.struct(s["depth"].alias("depth"), s["open"].alias("lines"))))).otherwise(s["done"])
 
     def step(s: Column, x: Column) -> Column:
-        same = s["depth"] == x["depth"]
+        depth = F.when(F.trim(F.translate(x["body"], "\t\r", "  ")) == "", 0).otherwise(x["depth"])
+        same = s["depth"] == depth
         return F.struct(
-            F.when(same, s["done"]).otherwise(closed(s)).alias("done"), x["depth"].alias("depth"),
-            F.when(x["depth"] == 0, F.array().cast("array<string>")).when(same, F.concat(s["open"], F.array(x["body"]))).otherwise(
+            F.when(same, s["done"]).otherwise(closed(s)).alias("done"), depth.alias("depth"),
+            F.when(depth == 0, F.array().cast("array<string>")).when(same, F.concat(s["open"], F.array(x["body"]))).otherwise(
                 F.array(x["body"])).alias("open"))
 
     return F.aggregate(lines, start, step, closed)
@@ -54,10 +56,29 @@ def _normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(lower_ascii(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
 
 
-def _keys(lines: Column) -> Column:
-    """array<struct<key, size>>: digests and lengths of the normalised whole and of each normalised line, without empty ones."""
+def _words(lines: Column) -> Column:
+    return F.filter(F.split(_normal(F.array_join(lines, " ")), " "), lambda w: w != "")
+
+
+def _pieces(lines: Column) -> Column:
+    """array<struct<n, key, size>>: hashes and weights of the normalised whole and of each normalised line, without empty ones; n is 0."""
     parts = F.concat(F.array(_normal(F.array_join(lines, " "))), F.transform(lines, _normal))
-    return F.transform(F.array_distinct(F.filter(parts, lambda p: p != "")), lambda p: F.struct(F.md5(p).alias("key"), F.length(p).alias("size")))
+    return F.transform(F.array_distinct(F.filter(parts, lambda p: p != "")), lambda p: F.struct(
+        F.lit(0).alias("n"), F.xxhash64(F.lit("piece"), p).alias("key"), (RUN * F.length(p)).alias("size")))
+
+
+def _runs(words: Column, n: Column) -> Column:
+    """The same of all runs of n words, wherever lines break; a character weighs as much in all its runs as it does once in a piece."""
+    run = lambda i: F.array_join(F.slice(words, i, n), " ")
+    all_runs = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.struct(
+        n.alias("n"), F.xxhash64(F.lit("run"), run(i)).alias("key"), F.length(run(i)).alias("size")))
+    none = F.array().cast("array<struct<n:int,key:bigint,size:int>>")
+    return F.when((n > 0) & (F.size(words) >= n), F.array_distinct(all_runs)).otherwise(none)
+
+
+def _quoted_keys(lines: Column) -> Column:
+    """Pieces, and runs of RUN words; a shorter passage is one run."""
+    return F.concat(_pieces(lines), let(_words(lines), lambda w: _runs(w, F.least(F.lit(RUN), F.size(w)))))
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:
@@ -85,15 +106,18 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     slim = known.select(F.col(conv).alias("c"), F.col(at).alias("t"), "text")
     quoting = slim.where(F.col("text").rlike(r"(?m)^[ \t]*>")).select("c", "t", _lines(F.col("text")).alias("lines"))
     asked = quoting.select("c", "t", F.posexplode(_passages(F.col("lines"))).alias("n", "p")).select(
-        "c", "t", "n", "p.depth", F.explode(_keys(F.col("p.lines"))).alias("k")).select("c", "t", "n", "depth", "k.key", "k.size")
+        "c", "t", "p.depth", F.explode(let(F.col("p.lines"), _quoted_keys)).alias("k")).select(
+        "c", "t", "depth", "k.n", "k.key", "k.size")
     asked = save(asked, "asked")
+    lengths = [r["n"] for r in asked.where("n > 0").select("n").distinct().collect()]  # RUN numbers at most
     wanted = asked.select("c", "key").distinct()
     said = slim.where("text is not null").select("c", "t", F.when(
         F.col("text").rlike(r"(?m)^[ \t]*>"), let(_lines(F.col("text")), _own)).otherwise(F.col("text")).alias("own"))
-    said = said.select("c", "t", F.explode(_keys(F.split("own", "\r?\n"))["key"]).alias("key"))
+    keys = lambda own: F.concat(_pieces(own)["key"], let(_words(own), lambda w: F.concat(
+        F.array().cast("array<bigint>"), *[_runs(w, F.lit(n))["key"] for n in lengths])))
+    said = said.select("c", "t", F.explode(F.array_distinct(let(F.split("own", "\r?\n"), keys))).alias("key"))
     match = lambda a, b: a["c"].eqNullSafe(b["c"]) & (a["key"] == b["key"])
-    said = said.groupBy("c", "key").agg(F.min("t").alias("first"))
-    said = said.join(wanted, match(said, wanted), "left_semi")
+    said = said.join(wanted, match(said, wanted), "left_semi").groupBy("c", "key").agg(F.min("t").alias("first"))
     found = asked.join(said, match(asked, said)).where(F.col("first") < F.col("t")).select(
         asked["c"], "t", "depth", "size", "first")
     scored = found.groupBy("c", "t", "depth", "first").agg(F.sum("size").alias("size"))

@@ -93,6 +93,20 @@ def test_quotations_are_linked(spark):
     assert quotes.link_quotes(mail.limit(0)).count() == 0
 
 
+def test_quotations_in_part_and_wrapped_anew(spark):
+    one = "The first paragraph of the letter speaks about the garden and what grows in it."
+    two = "Another paragraph lists the tools that were lent to the neighbours last week."
+    three = "The last one asks when they come back; nobody has said so until now."
+    mail = [
+        (0, "Hello all"), (1, f"{one}\n\n{two}\n\n{three}"), (2, "Something else entirely"),
+        (3, "> The first paragraph of the letter\n> speaks about the garden and what\n> grows in it.\n>\n> The last one asks when they\n> come back; nobody has said so until now.\nSoon."),
+        (4, "> the tools that were lent\nHere."), (5, "> lent to the neighbours\nWhich?"), (6, "> nobody lent the garden\nHm."), (7, "> Something\n>\n> else entirely\nYes."),
+    ]
+    rows = {r["turn"]: r for r in quotes.link_quotes(spark.createDataFrame([(1, *m) for m in mail], "conv_id long, turn long, text string")).collect()}
+    assert {t: r["reply_to"] for t, r in rows.items()} == {0: None, 1: None, 2: None, 3: 1, 4: 1, 5: 1, 6: None, 7: 2}
+    assert rows[3]["n_quotes"] == 2 and rows[3]["own_text"] == "Soon." and rows[7]["n_quotes"] == 2
+
+
 def test_long_chains_of_replies(spark):
     n = 70
     mail = [(1, 0, "start 0")] + [(1, i, f"> start {i - 1}\nstart {i}") for i in range(1, n)] + [(1, n, "apart")]
