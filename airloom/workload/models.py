@@ -245,7 +245,7 @@ def ridge_two_features(spark, sf_dir):
 @register("m1_ridge_cross_validated")
 def ridge_models(spark, sf_dir):
     _, models, _ = fitted(spark, sf_dir)
-    return comparable(models.select("horizon", "algorithm", "alpha", "cv_rmse", "intercept", F.posexplode(
+    return comparable(models.select("horizon", "algorithm", "alpha", "cv_rmse", "intercept", "left_out", F.posexplode(
         "coefficients").alias("feature_index", "coefficient")))
 
 
@@ -255,7 +255,7 @@ def ridge_by_group(spark, sf_dir):
     train = T.cv_blocks(learnable(spark, sf_dir).filter("split = 'train'"))
     group = F.concat(F.lit("region_"), F.pmod(F.col("station"), F.lit(4)).cast("string"))
     models, _ = ridge.fit_ridge(train, PREDICTORS, group=group)
-    return comparable(models.select("model_group", "horizon", "alpha", "cv_rmse", "intercept"))
+    return comparable(models.select("model_group", "horizon", "alpha", "cv_rmse", "intercept", "left_out"))
 
 
 # --- trees ------------------------------------------------------------------------------------

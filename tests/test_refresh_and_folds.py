@@ -96,6 +96,18 @@ def test_a_horizon_gets_its_own_features(spark):
         assert (got[h].alpha, got[h].cv_rmse) == pytest.approx((want[h].alpha, want[h].cv_rmse))
 
 
+def test_a_missing_reading_costs_only_the_horizons_that_use_it(spark):
+    blocks = pooled_cv_blocks(labelled(spark)).cache()
+    odd = F.dayofmonth("datetime") == 3
+    holes = blocks.withColumns({c: F.when(~odd, F.col(c)) for c in ("wind_future_48h", TARGETS[2])})
+    used = {24: ["us_aqi"], 48: ["us_aqi", "wind_future_48h"], 72: ["us_aqi"]}
+    lost = blocks.filter(odd).count()
+    got = {m.horizon: m for m in ridge.fit_ridge(holes, ["us_aqi", "wind_future_48h"], used=used)[0].collect()}
+    want = {m.horizon: m for m in ridge.fit_ridge(blocks, ["us_aqi"])[0].collect()}
+    assert lost > 0 and {h: m.left_out for h, m in got.items()} == {24: 0, 48: lost, 72: lost}
+    assert got[24].coefficients == pytest.approx(want[24].coefficients) and got[24].cv_rmse == pytest.approx(want[24].cv_rmse)
+
+
 def test_rows_left_out_of_a_fit_are_counted(spark):
     df = spark.createDataFrame([(1.0, None), (None, None), (float("nan"), 2.0), (3.0, 4.0)], "a double, b double")
     assert {r.column: r.rows for r in ridge.left_out(df, ["a", "b"]).collect()} == {"a": 2, "b": 2, None: 3}
