@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airloom.llm import hashed
-from airloom.llm.common import WORD_ANY_CASE, free_name, sampled, save
+from airloom.llm.common import WORD_ANY_CASE, free_name, ranked, sampled, save
 
 
 def domains_of(labels: DataFrame) -> DataFrame:
@@ -146,11 +146,24 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], tota
 def draw(mixed: DataFrame, seed: int = 11) -> DataFrame:
     """Each document as often as its rate says: the whole part, and once more with the chance of the rest.
 
-    The chance is a seeded hash of id and text, so that a repeated run draws the same documents. tokens,
-    posteriors and rate are dropped.
+    The chance is a seeded hash of id, text and, from the second on, the number among rows equal in both, so that
+    repeated rows are drawn one by one and the same rates draw as many of each. tokens, posteriors and rate
+    are dropped. Only a table with repeated rows is written once more, for row numbers that stay.
     """
-    chance = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    again, row, one, two = (free_name(mixed, c) for c in ("again", "row", "one", "two"))
+    digest = {one: F.xxhash64(F.lit(1), "doc_id", "text"), two: F.xxhash64(F.lit(2), "doc_id", "text")}
+    repeated = save(mixed.select(*[v.alias(k) for k, v in digest.items()]).groupBy(one, two).count().where("count > 1"), "repeated")
+    if repeated.isEmpty():
+        mixed = mixed.withColumn(again, F.lit(None).cast("bigint"))
+    else:
+        numbered = save(mixed.withColumn(row, F.monotonically_increasing_id()), "numbered")
+        keys = numbered.select(row, *[v.alias(k) for k, v in digest.items()]).join(repeated, [one, two], "left_semi")
+        places = ranked(keys, [one, two], [row], "place", "rows").where("place > 0").select(F.col(row).alias("n"), F.col("place").alias("again"))
+        places = save(places, "places")
+        mixed = numbered.join(places, numbered[row] == places["n"], "left").select(
+            *[numbered[f"`{c}`"] for c in mixed.columns], places["again"].alias(again))
+    chance = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text", again), F.lit(1 << 53)) / F.lit(float(1 << 53))
     copies = (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
     number = free_name(mixed, "number")
     drawn = mixed.withColumn(number, copies).where(F.col(number) > 0)
-    return drawn.withColumn(number, F.explode(F.sequence(F.lit(1), F.col(number)))).drop(number, "tokens", "posteriors", "rate")
+    return drawn.withColumn(number, F.explode(F.sequence(F.lit(1), F.col(number)))).drop(number, again, "tokens", "posteriors", "rate")

@@ -281,6 +281,18 @@ def test_mixture_meets_targets(spark, make):
     assert abs(drawn.count() - sum(r["rate"] for r in rows)) < 60
 
 
+def test_repeated_rows_are_drawn_one_by_one(make):
+    mixed = make([(1, "same text")] * 600 + [(2, "other")] * 2 + [(i, "alone") for i in range(3, 300)] + ODD, "again", "place", "n").selectExpr(
+        "*", "2L AS tokens", "array(1D) AS posteriors", "CASE WHEN doc_id = 2 THEN 1.0D ELSE 0.4D END AS rate")
+    drawn = mixing.draw(mixed)
+    assert drawn.columns == ["doc_id", "text", "source", "again", "place", "n"]
+    got = drawn.collect()
+    assert 180 < sum(r["doc_id"] == 1 and r["text"] == "same text" for r in got) < 300 and sum(r["text"] == "other" for r in got) == 2
+    alone = {r["doc_id"] for r in got if r["text"] == "alone"}
+    single = mixing.draw(mixed.where("text = 'alone'")).collect()
+    assert alone == {r["doc_id"] for r in single} and 80 < len(alone) < 160
+
+
 def test_rates_of_unreachable_targets_come_close(spark):
     soft = spark.createDataFrame([(10, [0.9, 0.1])] * 50 + [(10, [0.8, 0.2])] * 50, "tokens long, p array<double>")
     steps = mixing.fit_rates(soft, np.array([500.0, 500.0]))
