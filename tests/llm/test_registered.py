@@ -1,7 +1,9 @@
 """Registered queries: against SQL where there is any, else shape and rules of the contract, and the pipeline."""
 
 import corpus_pipeline
+import numpy as np
 import pytest
+import test_text_operators as plain
 from conftest import SF
 from oracle import compare, connect
 
@@ -39,6 +41,40 @@ def test_pipeline(spark):
     assert labels.join(docs, "doc_id").select("doc_id").subtract(clean.select("doc_id")).isEmpty()
 
 
+def test_later_stages_lose_no_rows(spark):
+    docs = corpus_pipeline.keep_good(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    rows = lambda df: [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+    good = rows(docs)
+    one = corpus_pipeline.deduplicate(spark, docs, SF)
+    kept, label = rows(one), plain.classes(good)
+    group = dict(zip(good, label))
+    assert sorted(group[r] for r in kept) == sorted(set(label))  # one of each group
+    clean = corpus_pipeline.remove_leaks(spark, one, SF)
+    leaked = plain.leaks(kept, rows(spark.read.parquet(f"{SF}/benchmark.parquet").selectExpr("item_id AS doc_id", "text")))
+    assert sorted(rows(clean)) == sorted(r for r, x in zip(kept, leaked) if not x[5])
+    out = rows(corpus_pipeline.shard(spark, clean, SF))
+    assert sorted(out) == sorted(rows(clean))
+
+
+def test_forest_query_finds_the_nearest(spark):
+    rows = {r["vec_id"]: np.array(r["embedding"], float) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}
+    got = {}
+    for r in entry.queries()["op10_prefix_forest"](spark, SF).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        a, b = rows[r["query_id"]], rows[r["vec_id"]]
+        assert r["score"] == pytest.approx(a @ b / np.sqrt((a @ a) * (b @ b)), abs=1e-6)
+    assert set(got) == {q for q in rows if q % 50 == 0}
+    ids = np.array(list(rows))
+    unit = np.stack([v / np.linalg.norm(v) for v in rows.values()])
+    met = 0
+    for q, found in got.items():
+        order = ids[np.argsort(-(unit @ (rows[q] / np.linalg.norm(rows[q]))))]
+        best = set(order[order != q][:5])
+        assert len(found) == 5
+        met += len(found & best)
+    assert met >= 0.95 * 5 * len(got)
+
+
 @pytest.mark.parametrize("stage", range(5))
 def test_stages_take_odd_rows(spark, stage):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
