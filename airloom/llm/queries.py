@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm import decontaminate, forest, jaccard, licenses, mixing, pii, quality, quotes, shards, sql, urls
+from airloom.llm import (
+    decontaminate, divergence, forest, jaccard, languages, lexical, licenses, mixing, pii, quality, quotes, shards, sql, urls)
 from airloom.llm.common import small_batches
 
 
@@ -75,18 +76,34 @@ def op10_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op11_fp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(_table(spark, sf_dir, "documents"))
+
+
+def op13_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = languages.train(docs.where(F.col("doc_id").isNotNull() & ~languages.is_held_out(F.col("doc_id"))))
+    found = languages.predict_languages(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", languages.is_held_out(F.col("doc_id")).alias("held_out"), "found.lang_pred", "found.score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_soft_mixture, op2_decontaminate, op3_jaccard_join, op4_url_filter, op5_quality_classifier, op6_license_scan, op7_pii,
-        op8_interleaved_shards, op9_quotation_links, op10_prefix_forest)}
+        op8_interleaved_shards, op9_quotation_links, op10_prefix_forest, op11_fp_tree_search, op12_source_divergence,
+        op13_language_families)}
 
 
 def oracle_sql() -> dict[str, str]:
-    """Trained models (1, 5), corpus-wide disclosure (7), quotation links (9) and approximate search (10) have none."""
+    """Trained models (1, 5), corpus-wide disclosure (7), quotation links (9), approximate search (10) and trained languages (13) have none."""
     rules = [(label, key, second, licenses.padded(pattern), priority, sure, i)
              for i, (label, key, second, pattern, priority, sure) in enumerate(licenses.signature_rules())]
     return {
         "op2_decontaminate": sql.leaks(), "op3_jaccard_join": sql.jaccard(), "op4_url_filter": sql.urls(URL_RULES),
         "op6_license_scan": sql.licenses(rules, [(label, licenses.padded(p)) for p, label in licenses.PHRASES.items()]),
-        "op8_interleaved_shards": sql.shards(8),
+        "op8_interleaved_shards": sql.shards(8), "op11_fp_tree_search": sql.ranked_documents(), "op12_source_divergence": sql.divergence(),
     }

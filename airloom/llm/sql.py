@@ -117,3 +117,46 @@ p AS (SELECT *, row_number() OVER (ORDER BY part, digest, source NULLS FIRST, do
 s AS (SELECT *, place * {count} // n AS shard FROM p)
 SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard, CAST(place - (shard * n + {count - 1}) // {count} AS BIGINT) AS slot,
   CAST(NULL AS INTEGER) AS grown_shard FROM s"""
+
+
+def ranked_documents(k: int = 10) -> str:
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_low('text')}, '{_WORD}') AS w FROM documents),
+q AS (SELECT row_number() OVER () AS qid, item_id, regexp_extract_all({_low('text')}, '{_WORD}') AS w FROM benchmark),
+qt AS (SELECT qid, term, count(*) AS times FROM (SELECT qid, unnest(w) AS term FROM q) GROUP BY ALL),
+size AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+dt AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM qt) GROUP BY ALL),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM dt, size GROUP BY term, n_docs),
+m AS (SELECT rid, doc_id, 100 - 75 + (75 * CAST(len(w) AS BIGINT) * n_docs) // n_terms AS m FROM d, size WHERE len(w) > 0),
+scored AS (
+  SELECT qid, rid, doc_id, CAST(sum(times * weight.w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM qt JOIN dt USING (term) JOIN weight USING (term) JOIN m USING (rid) GROUP BY qid, rid, doc_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM placed JOIN q USING (qid) WHERE place <= {k}"""
+
+
+def divergence(min_docs: int = 30, ranks: int = 50) -> str:
+    chance = "1 + (1000000000::HUGEINT * ({0} + 5)) // ({1} + 5 * size)".format
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_low('text')}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS (SELECT lang, source, rid, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY ALL HAVING count(DISTINCT rid) >= {min_docs}),
+size AS (SELECT lang, count(*) AS size, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+here AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+total AS (SELECT lang, source, sum(n) AS total FROM here GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, term, coalesce(n, 0) AS n, {chance('coalesce(n, 0)', 'coalesce(total, 0)')} AS p, {chance('lang_n', 'lang_total')} AS q
+  FROM g JOIN kept USING (lang) JOIN size USING (lang) LEFT JOIN here USING (lang, source, term) LEFT JOIN total USING (lang, source)),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b USING (lang, term) GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM placed WHERE part = 'pair' OR rank <= {ranks}"""
