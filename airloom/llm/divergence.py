@@ -67,9 +67,12 @@ def _partial(most: int):
 
 
 def count_terms(docs: DataFrame, most: int = 300_000) -> DataFrame:
-    """lang, source, term, n (places) and docs (documents with the term); the term '' marks each group that occurs."""
+    """lang, source, term, n (places) and docs (documents with the term); the term '' marks each group that occurs.
+
+    Dealt out by language and term, so that what is summed by them next needs no other shuffle.
+    """
     partial = docs.select("lang", "source", "text").mapInArrow(_partial(most), "lang string, source string, term string, n long, docs long")
-    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return partial.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def _chance(n: Column, total: Column, kept: Column) -> Column:
@@ -119,7 +122,7 @@ def audit_sources(docs: DataFrame, min_docs: int = 30, ranks: int = 50, cells: i
     of their differences over all kept terms for each other source; part `term` the `ranks` terms more usual in
     the source than in its language.
 
-    Arrow kernels count terms inside the tasks, and their partial counts meet in one shuffle and are written as columns.
+    Arrow kernels count terms inside the tasks, and their partial counts meet in one shuffle; kept terms are written as columns.
     A task that compares sources takes a share of the terms and a block of sources (`cells` numbers at a time), and
     its sums have one row a pair. The driver holds a row a (language, source), of which the result has the squares.
 
@@ -127,12 +130,12 @@ def audit_sources(docs: DataFrame, min_docs: int = 30, ranks: int = 50, cells: i
     latter). Repeated rows are documents of their own; equal values are ranked by item. Other columns are ignored. No documents: no rows.
     """
     spark = docs.sparkSession
-    counts = save(count_terms(docs), "terms")
-    groups, words = counts.where("term = ''").select("lang", "source"), counts.where("term <> ''")
-    by_lang = words.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= min_docs)
-    kept = save(by_lang.select("lang", "term", "lang_n"), "kept")
-    here = save(words.select("lang", "source", "term", "n").join(kept, ["lang", "term"]), "kept-counts")
-    of_lang = kept.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count("*").alias("size"))
+    same = Window.partitionBy("lang", "term")
+    counts = count_terms(docs).withColumns({"lang_docs": F.sum("docs").over(same), "lang_n": F.sum("n").over(same)})
+    counts = save(counts.where((F.col("lang_docs") >= min_docs) | (F.col("term") == "")), "terms")
+    groups, here = counts.where("term = ''").select("lang", "source"), counts.where("term <> ''")
+    of_lang = here.groupBy("lang", "term").agg(F.max("lang_n").alias("lang_n")).groupBy("lang").agg(
+        F.sum("lang_n").alias("lang_total"), F.count("*").alias("size"))
     of_group = here.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     sized = groups.join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left").na.fill(0, ["total", "lang_total", "size"])

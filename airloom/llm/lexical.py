@@ -112,12 +112,15 @@ class Tree:
             if bound < best.least:
                 continue
             a, z = self.levels[level][0][node], self.levels[level][1][node]
+            while level and z - a == 1:  # no fork here
+                level -= 1
+                a, z = self.levels[level][0][a], self.levels[level][1][a]
             if not level:
                 best.add(scores(self.tf[:, a:z], self.m[a:z], weights), ids[self.rows[a:z]])
                 seen += z - a
                 continue
             bounds = scores(self.levels[level - 1][2][:, a:z], self.levels[level - 1][3][a:z], weights)
-            stack += [(int(bounds[i]), level - 1, int(a + i)) for i in np.argsort(bounds, kind="stable") if bounds[i] >= best.least]
+            stack += sorted((b, level - 1, a + i) for i, b in enumerate(bounds.tolist()) if b >= best.least)
         return seen
 
 
