@@ -92,6 +92,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def put_aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """The table with columns of these names (in any case) under free ones, and the names to give back with withColumnsRenamed."""
+    aside, taken = {}, df
+    for c in df.columns:
+        if c.lower() in names:
+            aside[free_name(taken, f"own_{c}")] = c
+            taken = taken.withColumnRenamed(c, next(reversed(aside)))
+    return taken, aside
+
+
 def ranked(df: DataFrame, group: Sequence[str], order: Sequence[str], rank: str, total: str) -> DataFrame:
     """Adds the rank (from 0) of each row in its group and the rows of the group, also for hot groups.
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airloom.llm.common import WORD_ANY_CASE, free_name, save, words
+from airloom.llm.common import WORD_ANY_CASE, put_aside, save, words
 
 RESULT = ("struct<n_words:bigint,runs:array<struct<first:bigint,last:bigint>>,items:array<string>,"
           "spans:array<struct<start:bigint,end:bigint>>>")
@@ -140,8 +140,7 @@ def summary(leaks: DataFrame) -> DataFrame:
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without any hit, with their columns as they were (a column `leak` included)."""
-    kept = free_name(docs, "kept_leak")
-    held = docs.withColumnRenamed("leak", kept) if "leak" in docs.columns else docs
+    """The documents without any hit, with their columns as they were (a column `leak`, in any case, included)."""
+    held, aside = put_aside(docs, "leak")
     clean = find_leaks(held, benchmark, **options).where("size(leak.runs) = 0").drop("leak")
-    return (clean.withColumnRenamed(kept, "leak") if "leak" in docs.columns else clean).select(*[f"`{c}`" for c in docs.columns])
+    return clean.withColumnsRenamed(aside).select(*[f"`{c}`" for c in docs.columns])

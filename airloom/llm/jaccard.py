@@ -19,8 +19,9 @@ def ngram_set(text: str | None, n: int = 5) -> np.ndarray:
 
 
 def choose_bands(threshold: float = 0.8, recall: float = 0.9999, max_hashes: int = 128) -> tuple[int, int]:
-    """Bands and rows: the most rows for which a pair at the threshold shares a band with the given probability."""
-    best = (max_hashes, 1)
+    """Bands and rows: the most rows for which a pair at the threshold shares a band with the given probability,
+    within `max_hashes` or, if one row takes more, with as many bands of one row as that needs."""
+    best = (math.ceil(math.log(1 - recall) / math.log(1 - threshold)) if threshold < 1 else 1, 1)
     for rows in range(1, max_hashes + 1):
         bands = max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))) if threshold < 1 else 1
         if bands * rows > max_hashes:

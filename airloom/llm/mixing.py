@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -28,17 +29,20 @@ def train_domains(docs: DataFrame, labelled: DataFrame, names: list[str], fit_ro
     known = texts.join(F.broadcast(some), F.col("doc_id") == F.col("labelled_id"))  # bounded by fit_rows
     known = known.groupBy("doc_id", "domain").agg(F.max("text").alias("text"))  # repeated rows count once
     number = F.array_position(F.array(*map(F.lit, names)), F.col("domain")) - 1
-    rows = save(hashed.with_vector(known, "text", "vector", size).select(
-        "vector", number.cast("double").alias("class"), F.lit(1.0).alias("weight")), "labelled")
+    rows = hashed.with_vector(known, "text", "vector", size).select(
+        "doc_id", F.xxhash64("text").alias("digest"), "vector", number.cast("double").alias("class"), F.lit(1.0).alias("weight"))
+    rows = save(hashed.in_order(rows, "doc_id", "class", "digest").drop("doc_id", "digest"), "labelled")
     if rows.isEmpty():
         return None
-    anchors = rows.limit(1).select("vector", F.explode(F.array(*[F.lit(float(i)) for i in range(len(names))])).alias("class"), F.lit(1e-3).alias("weight"))
+    anchors = rows.coalesce(1).limit(1).select("vector", F.explode(F.array(*[F.lit(float(i)) for i in range(len(names))])).alias("class"), F.lit(1e-3).alias("weight"))
     return hashed.fit(rows.union(anchors), size, max(3, len(names)))  # anchors: every domain has an example
 
 
 def _posteriors(docs: DataFrame, model: LogisticRegressionModel | None, names: list[str], column: str, size: int) -> DataFrame:
+    """Adds a struct of words and chances."""
     if model is None:  # nothing known: all domains alike
-        return docs.withColumn(column, F.array(*[F.lit(1.0 / len(names))] * len(names)))
+        alike = F.array(*[F.lit(1.0 / len(names))] * len(names))
+        return docs.withColumn(column, F.struct(tokens(F.col("text")).alias("words"), alike.alias("chances")))
     return hashed.score(docs, model, "text", column, size)
 
 
@@ -75,14 +79,14 @@ def fit_rates(soft: DataFrame, targets: np.ndarray, rounds: int = 60, close: flo
     collected. The gradient is scaled by 1 / tokens for each document and by the inverse of the domains'
     matrix over documents with a rate above 0; a step that makes the largest error larger is undone and
     halved. Ends when no total is off by more than `close` of all tokens, when steps become tiny (targets
-    that no nonnegative rates meet: the nearest found), or after `rounds`.
+    that no nonnegative rates meet: the nearest found), or after `rounds`; the last of these warns.
     """
     k = len(targets)
 
     def summed(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = soft.mapInArrow(_sums(steps), "place int, total double").groupBy("place").agg(F.sum("total").alias("total")).collect()
         out = np.zeros(k + k * k)
-        out[[r["place"] for r in rows]] = [r["total"] for r in rows]
+        out[[r["place"] for r in rows]] = [float(f"{r['total']:.12g}") for r in rows]  # digits that do not depend on the order of tasks
         return out[:k], out[k:].reshape(k, k)
 
     steps = np.zeros((0, k))
@@ -100,6 +104,8 @@ def fit_rates(soft: DataFrame, targets: np.ndarray, rounds: int = 60, close: flo
             length /= 2
             continue
         steps, error, square, length = longer, now - targets, new_square, min(1.0, 2 * length)
+    else:
+        warnings.warn(f"rates are not settled after {rounds} rounds: a total is off by {np.abs(error).max() / targets.sum():.2g} of all tokens", stacklevel=2)
     return steps
 
 
@@ -134,9 +140,10 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], tota
     names, share = list(weights), np.array(list(weights.values()), float)
     docs = docs.drop("tokens", "posteriors", "rate")
     model = train_domains(docs, labelled, names, fit_rows, size)
-    soft = _posteriors(docs.withColumn("tokens", tokens(F.col("text"))), model, names, "posteriors", size)
+    found = free_name(docs, "found")
     carried = docs.columns if columns is None else columns
-    soft = save(soft.select(*[f"`{c}`" for c in carried], "tokens", "posteriors"), "posteriors")
+    soft = save(_posteriors(docs, model, names, found, size).select(
+        *[f"`{c}`" for c in carried], F.col(f"{found}.words").alias("tokens"), F.col(f"{found}.chances").alias("posteriors")), "posteriors")
     slim = soft.where("tokens > 0").select("tokens", F.col("posteriors").alias("p"))
     all_tokens = slim.agg(F.sum("tokens")).first()[0] or 0
     steps = fit_rates(slim, share / share.sum() * total * all_tokens, **options)

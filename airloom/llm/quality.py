@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airloom.llm import hashed
-from airloom.llm.common import free_name, sampled, save
+from airloom.llm.common import free_name, put_aside, sampled, save
 
 GOOD, BAD, NONE = 1, 0, -1
 #: The labellers, in the order of their votes.
@@ -124,13 +124,15 @@ def rate_quality(docs: DataFrame, fit_rows: int = 10_000, size: int = 1 << 15, l
     total = sum(r["count"] for r in patterns)
     sample = sampled(docs.where(filled), fit_rows, total, "doc_id", "text")
     sample = sample.withColumn("good", weak("text"))
-    examples = hashed.with_vector(sample, "text", "vector", size).select("vector", F.explode(F.array(
+    sample = sample.withColumn("digest", F.xxhash64("text"))
+    examples = hashed.with_vector(sample, "text", "vector", size).select("doc_id", "digest", "vector", F.explode(F.array(
         F.struct(F.lit(1.0).alias("class"), F.col("good").alias("weight")),
-        F.struct(F.lit(0.0).alias("class"), (1 - F.col("good")).alias("weight")))).alias("e")).select("vector", "e.class", "e.weight")
-    model = hashed.fit(save(examples.where("weight > 0"), "examples"), size, 2)
+        F.struct(F.lit(0.0).alias("class"), (1 - F.col("good")).alias("weight")))).alias("e")).select("doc_id", "digest", "vector", "e.class", "e.weight")
+    examples = save(hashed.in_order(examples.where("weight > 0"), "doc_id", "digest", "class").drop("doc_id", "digest"), "examples")
+    model = hashed.fit(examples, size, 2)
     kind = free_name(docs, "kind")
     rated = hashed.score(docs, model, "text", kind, size)
-    quality = F.when(filled, F.get(kind, F.lit(1)))
+    quality = F.when(filled, F.get(f"{kind}.chances", F.lit(1)))
     return rated.withColumns({
         "weak": F.when(filled, weak("text")), "quality": quality,
         "keep": F.coalesce(quality >= least, F.lit(False))}).drop(kind)
@@ -138,6 +140,6 @@ def rate_quality(docs: DataFrame, fit_rows: int = 10_000, size: int = 1 << 15, l
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The documents that the classifier keeps, with their columns as they were."""
-    names = {c: free_name(docs, f"own_{c}") for c in docs.columns if c.lower() in ("weak", "quality", "keep")}
-    rated = rate_quality(docs.withColumnsRenamed(names), **options).where("keep")
-    return rated.drop("weak", "quality", "keep").withColumnsRenamed({v: k for k, v in names.items()}).select(*[f"`{c}`" for c in docs.columns])
+    held, aside = put_aside(docs, "weak", "quality", "keep")
+    kept = rate_quality(held, **options).where("keep").drop("weak", "quality", "keep")
+    return kept.withColumnsRenamed(aside).select(*[f"`{c}`" for c in docs.columns])

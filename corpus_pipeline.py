@@ -1,9 +1,9 @@
 """From raw documents to shards: quality, near duplicates, benchmark leaks, mixture, shards.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
-again as the next stage's documents. All but the last return the columns of the documents. Nulls,
-empty texts, repeated rows, empty tables and extra columns are treated as the operators' docstrings
-say; columns that an operator adds for its own use replace extra columns of the same names.
+again as the next stage's documents. All but the last return the columns of the documents, extra ones and
+those named like an operator's own included; the last adds shard and slot, in place of columns of these
+names. Nulls, empty texts, repeated rows and empty tables are treated as the operators' docstrings say.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from airloom.llm import decontaminate, jaccard, mixing, quality, shards
-from airloom.llm.common import save, small_batches
+from airloom.llm.common import put_aside, save, small_batches
 
 #: Shares of tokens by domain after mixing; rates of plain good text come out at about 1 or more.
 MIXTURE = {"clean": 0.95, "toxic": 0.04, "junk": 0.01}
@@ -44,7 +44,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are drawn as often as their fitted rates say."""
     small_batches(spark)
     labelled = mixing.domains_of(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return mixing.draw(mixing.mix(docs, labelled, MIXTURE))
+    held, aside = put_aside(docs, "tokens", "posteriors", "rate")
+    return mixing.draw(mixing.mix(held, labelled, MIXTURE)).withColumnsRenamed(aside).select(*[f"`{c}`" for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

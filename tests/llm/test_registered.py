@@ -80,7 +80,31 @@ def test_stages_take_odd_rows(spark, stage):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = spark.createDataFrame(
         [(None, None, None, None, None), (1, "", "en", None, 0), (1, "", "en", None, 0), (2, "x" * 100_000, None, "src0", None)], docs.schema)
+    names = ["row", "keep", "place", "digest", "Leak", "RATE", "Tokens", "posteriors", "Weak"]
+    ids = lambda df: sorted((r["doc_id"] for r in df.select("doc_id").collect()), key=lambda x: (x is not None, x))
     for rows in (docs.limit(0), odd, odd.unionByName(docs.limit(20))):
-        extra = rows.selectExpr("*", "1 AS row", "'y' AS keep", "2.0 AS place", "'z' AS digest")
+        extra = rows.selectExpr("*", *[f"'{n}' AS `{n}`" for n in names])
         out = corpus_pipeline.STAGES[stage][1](spark, extra, SF)
-        assert set(extra.columns) - {"keep"} <= set(out.columns) and out.count() <= 60
+        assert out.columns == [*extra.columns, "shard", "slot"] if stage == 4 else extra.columns
+        assert all(r[n] == n for r in out.select(*names).collect() for n in names)
+        got, given = ids(out), ids(rows)
+        if stage == 4:
+            assert got == given
+        elif not given:
+            assert not got
+        elif stage == 3:  # texts without words follow their posterior
+            assert set(got) <= set(given)
+        elif stage == 2:
+            want = plain.leaks([(r["doc_id"], r["text"]) for r in rows.collect()], [
+                (r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()])
+            assert len(got) == sum(not x[5] for x in want) and set(got) >= {None, 1, 2}
+        elif stage == 1 and rows is odd:
+            assert got == given  # texts without words are no copies of each other
+        elif stage == 0:  # no words, no quality
+            assert None not in got and 1 not in [r["doc_id"] for r in out.where("text = ''").collect()]
+
+
+def test_mixing_can_be_repeated(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = lambda df: sorted(map(str, corpus_pipeline.mix(spark, df, SF).collect()))
+    assert rows(docs) == rows(docs) == rows(docs.repartition(5))

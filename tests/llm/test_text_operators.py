@@ -298,3 +298,26 @@ def test_rates_of_unreachable_targets_come_close(spark):
     steps = mixing.fit_rates(soft, np.array([500.0, 500.0]))
     rate = mixing._replay(np.array([[0.9, 0.1], [0.8, 0.2]]), steps)
     assert rate[0] < 0.05 and rate[1] > 0.8 and len(steps) <= 60
+
+
+def test_bands_reach_the_recall():
+    for threshold in (0.02, 0.05, 0.2, 0.5, 0.8, 0.95):
+        bands, rows = jaccard.choose_bands(threshold)
+        assert 1 - (1 - threshold**rows) ** bands >= 0.9999
+
+
+def test_rates_that_do_not_settle_are_told(make, spark):
+    soft = spark.createDataFrame([(10, [0.9, 0.1]), (10, [0.2, 0.8])], "tokens long, p array<double>")
+    with pytest.warns(UserWarning, match="not settled"):
+        mixing.fit_rates(soft, np.array([900.0, 1.0]), rounds=1)
+
+
+def test_places_are_those_of_hashing_tf(spark):
+    from pyspark.ml.feature import HashingTF
+
+    from airloom.llm import hashed
+
+    numbers = np.random.default_rng(0).integers(-(1 << 31), 1 << 31, 500).astype(np.int32)
+    rows = spark.createDataFrame([(numbers.tolist(),)], "n array<int>")
+    vector = HashingTF(numFeatures=1 << 10, binary=True, inputCol="n", outputCol="v").transform(rows).first()["v"]
+    assert vector.indices.tolist() == hashed.places(numbers, 1 << 10).tolist()
