@@ -139,8 +139,9 @@ _TYPE = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
 def _predict_udf(shared):
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = Model(*shared.value)
         for texts in batches:
-            yield pa.array([dict(zip(("lang_pred", "score"), shared.value.predict(t))) for t in texts.to_pylist()], _TYPE)
+            yield pa.array([dict(zip(("lang_pred", "score"), model.predict(t))) for t in texts.to_pylist()], _TYPE)
 
     return predict
 
@@ -152,4 +153,4 @@ def predict_languages(docs: DataFrame, model: Model, name: str = "found") -> Dat
     language was learned, every text with a letter is that. Repeated rows have their own results; an empty table stays
     empty; a column of the name given is replaced, others stay.
     """
-    return docs.withColumn(name, _predict_udf(docs.sparkSession.sparkContext.broadcast(model))(F.col("text")))
+    return docs.withColumn(name, _predict_udf(docs.sparkSession.sparkContext.broadcast(tuple(model)))(F.col("text")))

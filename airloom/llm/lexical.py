@@ -173,7 +173,7 @@ def _search(shared, k: int, rows: int, postings: int):
             flat = lambda name: np.concatenate([b.column(name).flatten().to_numpy() for b in held])
             block = Block(ids, 100 - 75 + 75 * n * docs // total, np.concatenate(([0], np.cumsum(lengths))), flat("terms"), flat("counts").astype(np.int64), size)
             for item, found in zip(items, best):
-                block.search(item, found)
+                block.search(Item(*item), found)
             held.clear()
 
         for batch in batches:
@@ -231,7 +231,7 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 10, block_rows: i
             times = np.array(list(terms.values()), np.int64)
             order = np.lexsort((at, held[at])) if len(at) else at
             searched.append(Item(at[order], (weight[at] * times)[order] if len(at) else at))
-        shared = spark.sparkContext.broadcast((searched, len(number), n, total))
+        shared = spark.sparkContext.broadcast((list(map(tuple, searched)), len(number), n, total))
         found = vectors.mapInArrow(_search(shared, k, block_rows, block_postings), "item int, doc_id long, score long")
         whole = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
         found = found.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= k)
