@@ -21,18 +21,15 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def register(
-    spark: SparkSession, path: str, model_group: str, horizon: int, algorithm: str, artifact,
+    spark: SparkSession, path: str, model_group: str, horizon: int, algorithm: str, artifact: DataFrame,
     metrics: dict[str, float], features: list[str],
 ) -> int:
-    """Save an artifact (a Spark ML model or a DataFrame of coefficients) as the next version."""
+    """Save an artifact (a table of coefficients or of tree nodes) as the next version."""
     name = model_name(model_group, horizon)
     known = read_registry(spark, path).filter(F.col("name") == name)
     version = (known.agg(F.max("version")).first()[0] or 0) + 1
     target = f"{path}/artifacts/{name}/version={version}"
-    if isinstance(artifact, DataFrame):
-        artifact.coalesce(1).write.mode("overwrite").parquet(target)
-    else:
-        artifact.write().overwrite().save(target)
+    artifact.coalesce(1).write.mode("overwrite").parquet(target)
     row = (name, version, model_group, horizon, algorithm, target,
            {k: float(v) for k, v in metrics.items()}, features)
     spark.createDataFrame([row], REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/registry")

@@ -272,31 +272,35 @@ def parts(spark, sf_dir):
     return [rows.filter(F.col("split") == s).drop("split") for s in ("train", "test")]
 
 
-def tree_rows(spark, sf_dir):
-    """Complete rows of the feature table for trees that look 24 hours ahead, and the features' names."""
+FOREST = trees.Params("forest", trees=100, depth=10, min_rows=5, feature_share="sqrt")
+BOOSTED = trees.Params("boosted", trees=100, depth=4, min_rows=5, feature_share=0.8, rate=0.1, row_share=0.8, alpha=0.1, lam=1.0)
+
+
+def tree_table(spark, sf_dir):
+    """The feature table's training rows, binned for trees that look 24 hours ahead, and the features' names."""
     train, _ = parts(spark, sf_dir)
-    names, label = horizon_features(feature_columns(train), 24), "target_us_aqi_24h_ahead"
-    rows = T.pooled_cv_blocks(train.na.drop(subset=[*names, label]))
-    return trees.assemble(rows.withColumn("weight", ridge.period_weight(OUTLIER_END)), names).select(
-        "features", "weight", "cv_block", label), names
+    names = horizon_features(feature_columns(train), 24)
+    rows = T.pooled_cv_blocks(train).withColumn("weight", ridge.period_weight(OUTLIER_END))
+    path = new_path(spark, "blocks")
+    rows.write.parquet(path)
+    return trees.Trainer(trees.bin_rows(spark.read.parquet(path), names, ["target_us_aqi_24h_ahead"])), names
 
 
-def _tuned(spark, sf_dir, make, grid, name):
-    ready, names = tree_rows(spark, sf_dir)
-    model, params, cv_rmse = trees.tune(ready, make, "target_us_aqi_24h_ahead", trees.draws(grid))
-    rows = [(name, f, float(s), float(cv_rmse), str(sorted(params.items())))
-            for f, s in zip(names, model.featureImportances.toArray(), strict=True)]
-    return spark.createDataFrame(rows, "model string, feature string, importance double, cv_rmse double, params string")
+def _fitted_trees(spark, sf_dir, params, name):
+    """One candidate: its error by folds, and what its features are worth in the model of all rows."""
+    trainer, names = tree_table(spark, sf_dir)
+    model, _, cv_rmse = trees.tune(trainer, [params], names, "target_us_aqi_24h_ahead")
+    return model.importance().select(F.lit(name).alias("model"), "feature", "importance", F.lit(cv_rmse).alias("cv_rmse"))
 
 
-@register("m2_m4_random_forest_tuned")
+@register("m2_random_forest")
 def forest(spark, sf_dir):
-    return _tuned(spark, sf_dir, trees.forest, trees.FOREST_GRID, "random_forest")
+    return _fitted_trees(spark, sf_dir, FOREST, "random_forest")
 
 
-@register("m3_m4_boosted_trees_tuned")
+@register("m3_boosted_trees")
 def boosted(spark, sf_dir):
-    return _tuned(spark, sf_dir, trees.boosted, trees.BOOSTED_GRID, "boosted_trees")
+    return _fitted_trees(spark, sf_dir, BOOSTED, "boosted_trees")
 
 
 @register("m6_t3_feature_importance")
@@ -307,8 +311,9 @@ def importance(spark, sf_dir):
 
 @register("m5_e3_train_and_select")
 def trained(spark, sf_dir):
+    """Ridge over all its penalties, one forest and one boosted model, for every horizon."""
     train, test = parts(spark, sf_dir)
-    return E.train_all(train, test).summary()
+    return E.train_all(train, test, candidates={"random_forest": [FOREST], "boosted_trees": [BOOSTED]}).summary()
 
 
 @register("k12_m7_registered_forecast")
@@ -316,7 +321,7 @@ def registered_forecast(spark, sf_dir):
     """Train, register the winners, load the latest versions and score every station."""
     train, test = parts(spark, sf_dir)
     path = new_path(spark, "models")
-    E.register_winners(E.train_all(train, test), spark, path, "all")
+    E.register_winners(E.train_all(train, test, candidates={"boosted_trees": [BOOSTED]}), spark, path, "all")
     return comparable(P.forecast(features(spark, sf_dir), E.load_bundles(spark, path, "all")))
 
 
@@ -432,9 +437,9 @@ def top_contributions(spark, sf_dir):
 
 @register("m10_sampled_shapley_contributions")
 def shapley(spark, sf_dir):
-    """Contributions for a tuned boosted-tree forecast of every station with a complete row."""
-    ready, names = tree_rows(spark, sf_dir)
-    model, _, _ = trees.tune(ready, trees.boosted, "target_us_aqi_24h_ahead", trees.draws(trees.BOOSTED_GRID))
+    """Contributions for a boosted-tree forecast of every station with a complete row."""
+    trainer, names = tree_table(spark, sf_dir)
+    model = trainer.fit(BOOSTED, tuple(range(len(names))), 0)
     table = features(spark, sf_dir)
     back = X.sampled_background(X.background(table, names), names)
     return comparable(X.shapley_contributions(latest_row(table).na.drop(subset=names), back, model, names))

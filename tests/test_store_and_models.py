@@ -130,12 +130,13 @@ def test_ridge_equals_closed_form(spark, samples):
 
 
 def test_ridge_equals_spark_linear_regression(spark, samples):
+    from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
     features, label, alpha = ["us_aqi", "pm10"], TARGETS[0], 10.0
     blocks = cv_blocks(samples).withColumn("weight", ridge.period_weight())
     models, stats = ridge.fit_ridge(blocks, features, weight=F.col("weight"), alphas=[alpha])
     from airloom.operators.metrics import scale
-    ready = trees.assemble(scale(blocks, stats, features), features)
+    ready = VectorAssembler(inputCols=features, outputCol="features").transform(scale(blocks, stats, features))
     pdf = blocks.select("weight", label).toPandas()
     w, y = pdf["weight"], pdf[label]
     sd = np.sqrt(np.average((y - np.average(y, weights=w)) ** 2, weights=w))
@@ -149,7 +150,9 @@ def test_train_register_and_forecast(spark, samples):
     parts = {s: add_split(samples, months=0).filter(F.col("datetime") < "2023-08-01") if s == "train"
              else samples.filter(F.col("datetime") >= "2023-08-01") for s in ("train", "test")}
     trained = E.train_all(parts["train"].drop("split"), parts["test"],
-                          candidates={"random_forest": [{"numTrees": 5, "maxDepth": 3}]})
+                          candidates={"random_forest": [trees.Params("forest", trees=5, depth=3)], "boosted_trees": trees.draws(
+                              "boosted", 2, grid={"trees": [3, 5], "depth": [2], "rate": [0.5], "lam": [1.0]})}, ledger=new_path(spark, "ledger"))
+    assert {name for _, name in trained.artifacts} == {"ridge", "random_forest", "boosted_trees"}
     summary = trained.summary().collect()
     assert [r.horizon for r in sorted(summary, key=lambda r: r.horizon)] == ["24h", "48h", "72h"]
     assert all(r.r2_vs_baseline > 0 for r in summary)
@@ -168,12 +171,11 @@ def test_shapley_adds_up_and_equals_linear(spark, samples):
     back = explain.background(samples, features)
     drawn = explain.sampled_background(back, features)
     last = samples.orderBy(F.desc("datetime")).limit(1)
-    ready = trees.assemble(samples, features).withColumn("weight", F.lit(1.0))
-    model = trees.boosted(labelCol=TARGETS[0], maxIter=3, maxDepth=3).fit(ready)
+    binned = trees.bin_rows(samples.withColumns({"weight": F.lit(1.0), "cv_block": F.lit(0)}), features, [TARGETS[0]])
+    model = trees.Trainer(binned).fit(trees.Params("boosted", trees=3, depth=3, rate=0.5, lam=1.0), (0, 1), 0)
     got = explain.shapley_contributions(last, drawn, model, features)
     total = got.agg(F.sum("contribution")).first()[0]
-    vector = trees.assemble(last, features)
-    own = model.transform(vector).first().prediction
+    own = model.transform(last).first().prediction
     from pyspark.ml.functions import array_to_vector
     base = model.transform(drawn.withColumn("features", array_to_vector("_base"))).agg(F.avg("prediction")).first()[0]
     assert total == pytest.approx(own - base)
