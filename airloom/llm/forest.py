@@ -71,8 +71,11 @@ class Forest:
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors by row, each times the power of two that brings its largest component near 1: no square overflows or
+    vanishes, and the cosine stays the same to the last bit."""
     flat = column.combine_chunks()
-    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
+    vectors = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, initial=0))[1][:, None])
 
 
 _FOUND = pa.schema([("query_id", pa.int64()), ("query_key", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])

@@ -248,10 +248,14 @@ def jaccard_groups(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall:
     known = sets.select("key", "copy_id", "copies", "first_row").join(labels, "key", "left").join(counts, "key", "left")
     known = save(known.withColumn("label", F.coalesce("label", "key")), "known")
     first = known.groupBy("label").agg(F.min(F.struct(F.col("copy_id").isNull(), "copy_id", "first_row")).alias("first"))
-    known = known.join(first, "label").select(
+    known = save(known.join(first, "label").select(
         "key", "copy_id", F.col("first.copy_id").alias("class_id"), F.col("first.first_row").alias("class_row"), "copies",
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return signed.select("doc_id", "row", "key").join(known, "key", "left").select(
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
+    signed = signed.select("doc_id", "row", "key")
+    # Sets with a thousandth of all rows or more, a thousand of them at most, are broadcast: their rows do not meet in one task.
+    met = signed.join(F.broadcast(known.where(F.col("copies") * 1000 >= signed.count())), "key", "left")
+    rest = met.where("key is not null and copies is null").select("doc_id", "row", "key").join(known, "key")
+    return met.where("key is null or copies is not null").unionByName(rest).select(
         "doc_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("copies", F.lit(1)).alias("n_copies"), F.coalesce("n_links", F.lit(0)).alias("n_links"),

@@ -106,7 +106,8 @@ def train(labelled: DataFrame, fit_rows: int = 1500, size: int = 1 << 13, famili
         at, values = grams(text, size)
         return SparseVector(size, at.tolist(), values.tolist())
 
-    rows = save(some.select("lang", vector("text").alias("features"), F.sha2("text", 256).alias("key")).coalesce(1).sortWithinPartitions("key", "lang"), "texts-of-languages")
+    rows = some.select("lang", vector("text").alias("features"), F.sha2("text", 256).alias("key"))
+    rows = save(rows.repartition(1).sortWithinPartitions("key", "lang"), "texts-of-languages")
     langs: dict[str, list[str]] = defaultdict(list)
     for lang in sorted(counts):
         langs[family_of(lang, families)].append(lang)

@@ -152,3 +152,17 @@ def test_forest_recall_on_random_vectors():
         met, seen = met + len(best & set(rows)), seen + len(rows)
         assert np.allclose(score, unit[rows] @ unit[q])
     assert met >= 0.9 * 360 and seen < 0.7 * 60 * 8000
+
+
+def test_forest_with_very_large_and_small_components(spark):
+    """Squares of these overflow or vanish; the cosines are those of the scaled vectors."""
+    plain_ = [(i, [float(np.cos(i)), float(np.sin(2 * i)), 0.5]) for i in range(40)]
+    factor = [1e200, 1e-200, 1.0, 1e308, 5e-320]
+    rows = [(i, [x * factor[i % 4] for x in v]) for i, v in plain_]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in forest.nearest(table, table.where("vec_id % 5 = 0"), 3).collect()}
+    unit = np.array([np.array(v) / np.linalg.norm(v) for _, v in plain_])
+    for q in range(0, 40, 5):
+        order = [i for i in np.argsort(-(unit @ unit[q]), kind="stable") if i != q][:3]
+        for rank, i in enumerate(order, 1):
+            assert got[q, rank][0] == i and got[q, rank][1] == pytest.approx(unit[i] @ unit[q], abs=1e-12)

@@ -321,3 +321,16 @@ def test_places_are_those_of_hashing_tf(spark):
     rows = spark.createDataFrame([(numbers.tolist(),)], "n array<int>")
     vector = HashingTF(numFeatures=1 << 10, binary=True, inputCol="n", outputCol="v").transform(rows).first()["v"]
     assert vector.indices.tolist() == hashed.places(numbers, 1 << 10).tolist()
+
+
+def test_sets_of_few_and_of_many_rows(make):
+    """Beside a hot set, sets below a thousandth of the rows take the other join; texts without words take none."""
+    docs = [(i, f"w{i} of words that stand alone {i * 7}") for i in range(1500)]
+    docs += [(2000 + i, "many rows have this very text here") for i in range(40)] + [(1600, docs[3][1])] + [(3000 + i, None) for i in range(30)]
+    got = {r["doc_id"]: r for r in jaccard.jaccard_groups(make(docs).repartition(4)).collect()}
+    assert len(got) == len(docs)
+    for i, text in docs:
+        many, pair = 2000 <= i < 3000, i in (3, 1600)
+        first = 2000 if many else 3 if pair else i
+        assert (got[i]["copy_id"], got[i]["class_id"], got[i]["is_first"]) == (first, first, i == first)
+        assert (got[i]["n_copies"], got[i]["n_links"]) == ((40, 39) if many else (2, 1) if pair else (1, 0))
