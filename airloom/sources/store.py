@@ -57,6 +57,7 @@ def _note_layout(spark: SparkSession, path: str, buckets: int, schema: T.StructT
 
 
 def _noted_layout(spark: SparkSession, path: str) -> tuple[int, T.StructType]:
+    table_exists(spark, path)
     noted = spark.read.schema("buckets int, schema string").parquet(f"{path}/_layout").first()
     return noted.buckets, T.StructType.fromJson(json.loads(noted.schema))
 
@@ -67,8 +68,20 @@ def _file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def _retired(spark: SparkSession, path: str) -> list:
+    """Folders of old tables that a rebuild has put aside and not yet removed, the latest first."""
     fs, _ = _file_system(spark, path)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.retired-*")) or []
+    return [f.getPath() for f in sorted(found, key=lambda f: -f.getModificationTime())]
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table stands here. If a rebuild was cut off between putting the old table aside and the new one
+    in place, the old one is put back first."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        for old in _retired(spark, path)[:1]:
+            fs.rename(old, target)
     return fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_layout"))
 
 
@@ -116,7 +129,8 @@ def rebuild(df: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
     """Replace the whole feature table; its version stays the same. Returns the verification row.
 
     The new table is written beside the old one and checked there: keys must not be null or repeated.
-    Only a table that passes takes the old one's place."""
+    Only a table that passes takes the old one's place: the old one is renamed, the new one takes its name, and
+    the old one is removed last, so that at every moment one of them is whole (:func:`table_exists`)."""
     spark = df.sparkSession
     staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
     rows = _with_partitions(plain_names(df), buckets)
@@ -132,9 +146,15 @@ def rebuild(df: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
             f"{report.duplicate_keys} rows share their (station, datetime) with another row, {lost} have none; the old table stays")
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs.mkdirs(target.getParent())
-    fs.delete(target, True)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.retired-{uuid.uuid4().hex}")
+    if table_exists(spark, path) and not fs.rename(target, aside):
+        raise OSError(f"the old table stays in {path}, the checked one in {staged}")
+    fs.delete(target, True)  # an empty folder
     if not fs.rename(folder, target):
+        fs.rename(aside, target)
         raise OSError(f"the checked table stays in {staged}")
+    for old in _retired(spark, path):
+        fs.delete(old, True)
     return spark.createDataFrame([report], verify(written).schema)
 
 
