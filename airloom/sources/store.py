@@ -1,23 +1,26 @@
 """Feature table, training snapshots and small result tables, as Parquet.
 
 The feature table is keyed by (station, datetime) and partitioned by (station_bucket, month): a
-time filter prunes months, an upsert rewrites only the partitions it touches. One writer at a time.
+time filter prunes months. An upsert writes only its own rows; reads put the newest row of a key first, and
+partitions in which many writes have gathered are merged (:mod:`manifest`). One writer at a time.
 """
 
-import json
-import uuid
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import deduplicate
 from ..schema import KEY, RETENTION_YEARS
 from ..session import new_path
+from . import manifest
+from .manifest import PARTITIONS, WRITE
 
-PARTITIONS = ["station_bucket", "month"]
 BUCKETS = 64
 MAX_LISTED_PARTITIONS = 10_000
+MAX_WRITES = 24  # of one partition before they are merged: a day of hourly batches
+MAX_OPEN_WRITES = 256  # of the whole table
 
 
 # --- column names and types -------------------------------------------------------------------
@@ -47,55 +50,45 @@ def alignment_losses(df: DataFrame, stored: T.StructType) -> DataFrame:
     return df.agg(*lost).unpivot([], list(types), "column", "lost_values")
 
 
-# --- writing --------------------------------------------------------------------------------
+# --- the feature table: writes and their manifest ----------------------------------------------
 
-def _note_layout(spark: SparkSession, path: str, buckets: int, schema: T.StructType) -> None:
-    """The bucket count belongs to the table: an upsert must place a station where it was. The
-    schema lets a table without rows be read."""
-    layout = spark.createDataFrame([(buckets, schema.json())], "buckets int, schema string")
-    layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/_layout")
-
-
-def _noted_layout(spark: SparkSession, path: str) -> tuple[int, T.StructType]:
-    table_exists(spark, path)
-    noted = spark.read.schema("buckets int, schema string").parquet(f"{path}/_layout").first()
-    return noted.buckets, T.StructType.fromJson(json.loads(noted.schema))
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return manifest.exists(spark, path)
 
 
-def _retired(spark: SparkSession, path: str) -> list:
-    """Folders of old tables that a rebuild has put aside and not yet removed, the latest first."""
-    fs, _ = _file_system(spark, path)
-    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.retired-*")) or []
-    return [f.getPath() for f in sorted(found, key=lambda f: -f.getModificationTime())]
+def _write_rows(df: DataFrame, path: str) -> int:
+    """Rows with their partition columns as a new write, which counts only once a manifest names it.
+    ``rebalance`` groups rows by partition, and splits the groups that are too large for a task."""
+    number = manifest.next_write(df.sparkSession, path)
+    arranged = df.hint("rebalance", *[F.col(p) for p in PARTITIONS]).sortWithinPartitions(*PARTITIONS, *KEY)
+    arranged.write.partitionBy(*PARTITIONS).parquet(f"{path}/data/{WRITE}={number}")
+    return number
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table stands here. If a rebuild was cut off between putting the old table aside and the new one
-    in place, the old one is put back first."""
-    fs, target = _file_system(spark, path)
-    if not fs.exists(target):
-        for old in _retired(spark, path)[:1]:
-            fs.rename(old, target)
-    return fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_layout"))
+def _read_writes(spark: SparkSession, path: str, schema: T.StructType, writes: list[int]) -> DataFrame:
+    """Rows of these writes, each with the number of its write."""
+    numbered = T.StructType([*schema.fields, T.StructField(WRITE, T.LongType())])
+    if not writes:
+        return spark.createDataFrame([], numbered)
+    return (spark.read.schema(numbered).option("basePath", f"{path}/data")
+            .parquet(*[f"{path}/data/{WRITE}={n}" for n in writes]))
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_noted_layout(spark, path)[1]).parquet(path)
-
-
-def _write_partitions(df: DataFrame, path: str, dynamic: bool) -> None:
-    """``rebalance`` groups rows by partition, and splits the groups that are too large for a task."""
-    arranged = df.hint("rebalance", *[F.col(p) for p in PARTITIONS]).sortWithinPartitions(*PARTITIONS, *KEY)
-    writer = arranged.write.mode("overwrite").partitionBy(*PARTITIONS)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    """The rows that count, with their partition columns. Only partitions that several writes share are
+    merged, with an exchange; the others are read as they are."""
+    state = manifest.load(spark, path)
+    rows = _read_writes(spark, path, state.schema, sorted(state.live))
+    if (counting := state.counting()) is not None:
+        rows = rows.filter(counting)
+    shared = {p for p, writes in state.writes_of().items() if len(writes) > 1}
+    if not shared:
+        return rows.drop(WRITE)
+    here = manifest.partition_filter(shared)
+    # the partition columns belong to the window's keys, so that filters on them pass through to the scan
+    newest = Window.partitionBy(*PARTITIONS, *KEY).orderBy(F.desc(WRITE))
+    merged = rows.filter(here).withColumn("_nth", F.row_number().over(newest)).filter("_nth = 1").drop("_nth", WRITE)
+    return rows.filter(~here).drop(WRITE).unionByName(merged)
 
 
 def read_table(spark: SparkSession, path: str, since=None, before=None) -> DataFrame:
@@ -111,6 +104,47 @@ def read_table(spark: SparkSession, path: str, since=None, before=None) -> DataF
     return df.drop(*PARTITIONS)
 
 
+# --- newest times per station --------------------------------------------------------------------
+
+def _note_latest(rows: DataFrame, path: str, number: int) -> None:
+    """Newest time per station of a write, beside it: one small row per station."""
+    rows.groupBy("station").agg(F.max("datetime").alias("latest")).write.parquet(f"{path}/_latest/{WRITE}={number}")
+
+
+def _latest(spark: SparkSession, path: str, state: manifest.Manifest) -> DataFrame:
+    types = {f.name: f.dataType for f in state.schema}
+    schema = T.StructType([T.StructField("station", types["station"]), T.StructField("latest", types["datetime"])])
+    if not state.latest:
+        return spark.createDataFrame([], schema)
+    noted = spark.read.schema(schema).parquet(*[f"{path}/_latest/{WRITE}={n}" for n in state.latest])
+    return noted.groupBy("station").agg(F.max("latest").alias("latest"))
+
+
+def latest_times(spark: SparkSession, path: str) -> DataFrame:
+    """(station, latest) of every stored station, without a look at the table's rows."""
+    return _latest(spark, path, manifest.load(spark, path))
+
+
+def read_last(spark: SparkSession, path: str, lookback: str = "0 days") -> DataFrame:
+    """Rows of every station from its own newest time back by ``lookback`` (for example ``"45 days"``); the
+    newest row alone by default. Only the partitions that hold such rows are read."""
+    state = manifest.load(spark, path)
+    since = _latest(spark, path, state).withColumn("_since", F.col("latest") - F.expr(f"INTERVAL {lookback}"))
+    months = F.sequence(F.trunc("_since", "month"), F.trunc("latest", "month"), F.expr("INTERVAL 1 MONTH"))
+    firsts = since.select("station", F.explode(months).alias("datetime"))
+    named = _with_partitions(firsts, state.buckets)
+    listed = named.select(*PARTITIONS).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
+    rows = _stored(spark, path)
+    if len(listed) <= MAX_LISTED_PARTITIONS:
+        rows = rows.filter(manifest.partition_filter({(r.station_bucket, r.month) for r in listed}))
+    return (rows.join(since.select("station", "_since"), "station")
+            .filter(F.col("datetime") >= F.col("_since")).drop("_since", *PARTITIONS).select(*_plain(state)))
+
+
+def _plain(state: manifest.Manifest) -> list[str]:
+    return [f.name for f in state.schema if f.name not in PARTITIONS]
+
+
 def read_recent(
     spark: SparkSession, path: str, stations: DataFrame, rows: int, floor, upto: DataFrame | None = None,
 ) -> DataFrame:
@@ -128,33 +162,24 @@ def read_recent(
 def rebuild(df: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
     """Replace the whole feature table; its version stays the same. Returns the verification row.
 
-    The new table is written beside the old one and checked there: keys must not be null or repeated.
-    Only a table that passes takes the old one's place: the old one is renamed, the new one takes its name, and
-    the old one is removed last, so that at every moment one of them is whole (:func:`table_exists`)."""
+    The rows are written beside the old ones and checked there: keys must not be null or repeated. Only rows
+    that pass are committed, in one step; until then, and for readers that have begun, the old table stands."""
     spark = df.sparkSession
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    before = manifest.newest(spark, path)
     rows = _with_partitions(plain_names(df), buckets)
-    _write_partitions(rows, staged, dynamic=False)
-    _note_layout(spark, staged, buckets, rows.schema)
-    written = read_table(spark, staged)
+    number = _write_rows(rows, path)
+    written = _read_writes(spark, path, rows.schema, [number]).drop(WRITE, *PARTITIONS)
     report = verify(written).collect()[0]
     lost = written.filter(F.col("station").isNull() | F.col("datetime").isNull()).count()
-    fs, folder = _file_system(spark, staged)
     if report.duplicate_keys or lost:
+        fs, folder = manifest.file_system(spark, f"{path}/data/{WRITE}={number}")
         fs.delete(folder, True)
         raise ValueError(
             f"{report.duplicate_keys} rows share their (station, datetime) with another row, {lost} have none; the old table stays")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs.mkdirs(target.getParent())
-    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.retired-{uuid.uuid4().hex}")
-    if table_exists(spark, path) and not fs.rename(target, aside):
-        raise OSError(f"the old table stays in {path}, the checked one in {staged}")
-    fs.delete(target, True)  # an empty folder
-    if not fs.rename(folder, target):
-        fs.rename(aside, target)
-        raise OSError(f"the checked table stays in {staged}")
-    for old in _retired(spark, path):
-        fs.delete(old, True)
+    _note_latest(written, path, number)
+    state = manifest.Manifest(buckets, rows.schema).add(number, manifest.written_partitions(spark, path, number))
+    manifest.commit(spark, path, state, before)
+    manifest.vacuum(spark, path)
     return spark.createDataFrame([report], verify(written).schema)
 
 
@@ -178,20 +203,6 @@ def _refuse_losses(batch: DataFrame, stored: T.StructType) -> None:
         raise ValueError(f"values that do not fit their columns: {lost}; rows without a key: {missing}; nothing is written")
 
 
-def _touched(batch: DataFrame) -> Column | None:
-    """Filter for the partitions of a batch, or None when there are too many to list."""
-    rows = batch.select(*PARTITIONS).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(rows) > MAX_LISTED_PARTITIONS:
-        return None
-    by_month: dict[int, list[int]] = {}
-    for r in rows:
-        by_month.setdefault(r.month, []).append(r.station_bucket)
-    found = F.lit(False)
-    for month, buckets in sorted(by_month.items()):
-        found = found | ((F.col("month") == month) & F.col("station_bucket").isin(sorted(buckets)))
-    return found
-
-
 def latest_wins(stored: DataFrame, batch: DataFrame, seq: str | None = None) -> DataFrame:
     """Union where a batch row replaces the stored row of the same key; within a batch the highest
     ``seq`` wins."""
@@ -205,23 +216,66 @@ def latest_wins(stored: DataFrame, batch: DataFrame, seq: str | None = None) ->
 
 
 def upsert(batch: DataFrame, path: str, seq: str | None = None) -> None:
-    """Insert or replace rows by key. Reads and rewrites only the partitions the batch touches;
-    writing the same batch again changes nothing, so a repeated run is safe. A batch with a null key or
-    a value that does not fit its stored column is refused whole, before anything is written."""
+    """Insert or replace rows by key. Only the batch is written, as a new write whose rows stand before older
+    ones of their keys; partitions in which many writes have gathered are then compacted. Writing the
+    same batch again changes no row, so a repeated run is safe. A batch with a null key, with a value that
+    does not fit its stored column or with other columns is refused whole, before anything is written."""
     spark = batch.sparkSession
     staged = new_path(spark, "batch")  # the batch is computed once and read several times
     plain_names(batch).write.parquet(staged)
     batch = spark.read.schema(plain_names(batch).schema).parquet(staged)
-    buckets, schema = _noted_layout(spark, path)
-    stored = _stored(spark, path)
-    _refuse_losses(batch, schema)
-    rows = _with_partitions(align_to(batch, schema), buckets)
-    touched = _touched(rows)
-    if touched is None:
-        kept = stored.join(F.broadcast(rows.select(*PARTITIONS).distinct()), PARTITIONS, "left_semi")
-    else:
-        kept = stored.filter(touched)
-    _write_partitions(latest_wins(kept, rows, seq).select(*stored.columns), path, dynamic=True)
+    before = manifest.newest(spark, path)
+    state = manifest.load(spark, path)
+    _refuse_losses(batch, state.schema)
+    names = _plain(state)
+    if other := (set(batch.columns) ^ set(names)) - {seq}:
+        raise ValueError(f"columns that only the table or only the batch has: {sorted(other)}; nothing is written")
+    rows = deduplicate(align_to(batch, state.schema), seq, keep="last").select(*names)
+    number = _write_rows(_with_partitions(rows, state.buckets).select(*state.schema.names), path)
+    partitions = manifest.written_partitions(spark, path, number)
+    if not partitions:  # no rows
+        return
+    _note_latest(_read_writes(spark, path, state.schema, [number]), path, number)
+    state = state.add(number, partitions)
+    manifest.commit(spark, path, state, before)
+    if full := _crowded(state):
+        compact(spark, path, full)
+
+
+def _crowded(state: manifest.Manifest, per_partition: int = MAX_WRITES, writes: int = MAX_OPEN_WRITES) -> set:
+    """Partitions in which more writes than ``per_partition`` have gathered; if more than ``writes`` are open in
+    all, every partition of any but the largest write too."""
+    full = {p for p, numbers in state.writes_of().items() if len(numbers) > per_partition}
+    if len(state.live) > writes:
+        largest = max(state.live, key=lambda n: len(state.live[n]))
+        full |= {p for n, partitions in state.live.items() if n != largest for p in partitions}
+    return full
+
+
+def compact(spark: SparkSession, path: str, partitions: set | None = None) -> None:
+    """Merge the writes of these partitions (all shared ones by default) into one; no row changes and no other
+    partition is read."""
+    before = manifest.newest(spark, path)
+    state = manifest.load(spark, path)
+    if partitions is None:
+        partitions = {p for p, numbers in state.writes_of().items() if len(numbers) > 1}
+    if not partitions:
+        return
+    _replace(spark, path, state, before, partitions, _stored(spark, path).filter(manifest.partition_filter(partitions)),
+             _latest(spark, path, state))
+
+
+def _replace(
+    spark: SparkSession, path: str, state: manifest.Manifest, before: int, partitions: set, rows: DataFrame, latest: DataFrame,
+) -> None:
+    """Commit ``rows`` in place of all rows of ``partitions``, and ``latest`` in place of all newest times."""
+    number = _write_rows(rows.select(*state.schema.names), path)
+    _note_latest(latest.withColumnRenamed("latest", "datetime"), path, number)
+    state = state.without(partitions)
+    if written := manifest.written_partitions(spark, path, number):
+        state = state.add(number, written)
+    manifest.commit(spark, path, replace(state, latest=(number,)), before)
+    manifest.vacuum(spark, path)
 
 
 def retain(df: DataFrame, as_of, years: int = RETENTION_YEARS) -> DataFrame:
@@ -231,73 +285,78 @@ def retain(df: DataFrame, as_of, years: int = RETENTION_YEARS) -> DataFrame:
 
 
 def prune(spark: SparkSession, path: str, as_of, years: int = RETENTION_YEARS) -> None:
-    """Delete rows past retention: older month folders are removed, the boundary month is
-    rewritten. Off unless called."""
-    stored = _stored(spark, path)
+    """Drop rows past retention: older months are dropped whole, the boundary month is rewritten. Off unless
+    called."""
+    before = manifest.newest(spark, path)
+    state = manifest.load(spark, path)
     cutoff = spark.range(1).select(
         (F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {years} YEAR")).alias("t")).first().t
-    month = cutoff.year * 100 + cutoff.month
-    boundary = stored.filter(F.col("month") == month)
-    _write_partitions(boundary.filter(F.col("datetime") >= F.lit(cutoff).cast("timestamp_ntz")), path, dynamic=True)
-    _remove_folders(spark, path, boundary_month=month, cutoff=cutoff)
-
-
-def _remove_folders(spark: SparkSession, path: str, boundary_month: int, cutoff) -> None:
-    """Remove month folders before the boundary, and boundary folders left without a kept row."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    kept = {
-        r.station_bucket for r in _stored(spark, path)
-        .filter((F.col("month") == boundary_month) & (F.col("datetime") >= F.lit(cutoff).cast("timestamp_ntz")))
-        .select("station_bucket").distinct().collect()  # at most one row per bucket
-    }
-    for folder in fs.globStatus(jvm.org.apache.hadoop.fs.Path(path, "station_bucket=*/month=*")):
-        month = int(folder.getPath().getName().split("=", 1)[1])
-        bucket = int(folder.getPath().getParent().getName().split("=", 1)[1])
-        if month < boundary_month or (month == boundary_month and bucket not in kept):
-            fs.delete(folder.getPath(), True)
+    boundary = cutoff.year * 100 + cutoff.month
+    past = {p for p in state.writes_of() if p[1] <= boundary}
+    if not past:
+        return
+    kept = F.col("datetime") >= F.lit(cutoff).cast("timestamp_ntz")
+    rows = _stored(spark, path).filter(F.col("month") == boundary).filter(kept)
+    latest = _latest(spark, path, state).filter(F.col("latest") >= F.lit(cutoff).cast("timestamp_ntz"))
+    _replace(spark, path, state, before, past, rows, latest)
 
 
 # --- versioned snapshots and mirrors -----------------------------------------------------------
 
 def _versions(spark: SparkSession, path: str, name: str) -> list[int]:
     """Version folders that were completely written."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(path, f"{name}=*/_SUCCESS")) or []
+    fs, pattern = manifest.file_system(spark, f"{path}/{name}=*/_SUCCESS")
+    done = fs.globStatus(pattern) or []
     return sorted(int(f.getPath().getParent().getName().split("=", 1)[1]) for f in done)
 
 
 def latest_version(spark: SparkSession, path: str, name: str = "td_version") -> int:
     """The newest complete version; 1 where nothing is written yet."""
-    return max(_versions(spark, path, name), default=1)
+    return max(_versions(spark, f"{path}/_bounds" if name == "td_version" else path, name), default=1)
+
+
+BOUNDS = "version bigint, train_start timestamp_ntz, train_end timestamp_ntz, test_start timestamp_ntz, test_end timestamp_ntz, rows bigint"
 
 
 def write_snapshot(df: DataFrame, path: str) -> int:
     """Write a split table as the next training-data version and return its number. Earlier
-    versions never change."""
+    versions never change. A row of bounds, written last, is the commit: a version without it was cut off,
+    is not read, and its number is not used again."""
     spark = df.sparkSession
-    version = max(_versions(spark, path, "td_version"), default=0) + 1
+    version = max(_versions(spark, f"{path}/_bounds", "td_version") + _folders(spark, path, "td_version"), default=0) + 1
     arranged = df.hint("rebalance", F.col("split")).sortWithinPartitions("split", *KEY)
-    arranged.write.mode("overwrite").partitionBy("split").parquet(f"{path}/td_version={version}")
+    target = f"{path}/td_version={version}"
+    arranged.write.partitionBy("split").parquet(target)
+    written = spark.read.schema(df.schema).parquet(target)
+    _bounds(written, version).coalesce(1).write.parquet(f"{path}/_bounds/td_version={version}")
     return version
 
 
-def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    return spark.read.parquet(f"{path}/td_version={version or latest_version(spark, path)}")
+def _folders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Version folders, cut-off ones included."""
+    fs, pattern = manifest.file_system(spark, f"{path}/{name}=*")
+    return [int(f.getPath().getName().split("=", 1)[1]) for f in fs.globStatus(pattern) or []]
 
 
-def snapshot_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """One row per version: time range and rows of each split."""
+def _bounds(rows: DataFrame, version: int) -> DataFrame:
     def of(split: str):
         here = F.col("split") == split
         return [F.min(F.when(here, F.col("datetime"))).alias(f"{split}_start"),
                 F.max(F.when(here, F.col("datetime"))).alias(f"{split}_end")]
-    stored = spark.read.option("basePath", path).parquet(f"{path}/td_version=*")
-    return stored.groupBy(F.col("td_version").cast("int").alias("version")).agg(
-        *of("train"), *of("test"), F.count("*").alias("rows"))
+    return rows.agg(*of("train"), *of("test"), F.count("*").alias("rows")).select(
+        F.lit(version).cast("bigint").alias("version"), "*")
+
+
+def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return spark.read.parquet(f"{path}/td_version={version or latest_version(spark, path)}")
+
+
+def snapshot_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """One row per version: time range and rows of each split, as noted when it was written."""
+    versions = _versions(spark, f"{path}/_bounds", "td_version")
+    if not versions:
+        return spark.createDataFrame([], BOUNDS)
+    return spark.read.schema(BOUNDS).parquet(*[f"{path}/_bounds/td_version={v}" for v in versions])
 
 
 def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -204,22 +204,6 @@ def test_rejected_rebuild_keeps_the_table(spark, series):
     assert store.read_table(spark, path).count() == 2
 
 
-def test_a_rebuild_that_was_cut_off(spark, series):
-    """The driver is lost after the old table was put aside: it comes back, and the next rebuild leaves nothing behind."""
-    path = new_path(spark, "t")
-    store.rebuild(series([1.0, 2.0]), path, buckets=2)
-    fs, target = store._file_system(spark, path)
-    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.retired-0")
-    assert fs.rename(target, aside) and not fs.exists(target)
-    assert store.read_table(spark, path).count() == 2 and store.table_exists(spark, path)
-    store.upsert(series([3.0]), path)
-    assert fs.rename(target, aside)
-    store.rebuild(series([5.0, 6.0, 7.0]), path, buckets=2)
-    assert sorted(r.us_aqi for r in store.read_table(spark, path).collect()) == [5.0, 6.0, 7.0]
-    assert not store._retired(spark, path) and not fs.exists(aside)
-    assert not store.table_exists(spark, new_path(spark, "nothing"))
-
-
 def test_tables_without_rows(spark, series):
     path = new_path(spark, "t")
     assert store.rebuild(series([]), path, buckets=2).first()["rows"] == 0
