@@ -3,9 +3,13 @@
 The built-in ``percentile`` keeps every distinct value of a group in one task. Here a bounded
 sketch (``percentile_approx``) first brackets each wanted rank; only rows inside the brackets are
 then ranked, and rows below them are counted. The sketch's rank error is at most n/accuracy, so
-brackets of three times that hold the rank; a rank outside its bracket stops the job.
+brackets of three times that hold the rank; a rank outside its bracket stops the job. Three
+exchanges: the sketch, the counts by value, and the few counted values by group.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,48 +43,42 @@ def exact_quantiles(
     def open_high(p):
         return small_group | F.lit(p + margin >= 1)
 
-    wanted = F.array(*[
-        F.struct(
-            F.lit(i).alias("_i"), (F.lit(p) * (F.col("n") - 1)).alias("_rank"),
-            F.when(open_low(p), F.col("min")).otherwise(F.col("_cuts")[2 * i]).alias("_low"),
-            F.when(open_high(p), F.col("max")).otherwise(F.col("_cuts")[2 * i + 1]).alias("_high"),
-        ) for i, p in enumerate(probs)
-    ])
-    brackets = sketch.select(*groups, "n", "min", "max", wanted.alias("_wanted"))
-    on = [rows[g].eqNullSafe(brackets[g]) for g in groups]
-    wanted_rows = brackets.select(*groups, "_wanted")
-    joined = rows.join(F.broadcast(wanted_rows) if few_groups else wanted_rows, on)
+    brackets = sketch.select(*groups, *[
+        c for i, p in enumerate(probs) for c in (
+            F.when(open_low(p), F.col("min")).otherwise(F.col("_cuts")[2 * i]).alias(f"_low{i}"),
+            F.when(open_high(p), F.col("max")).otherwise(F.col("_cuts")[2 * i + 1]).alias(f"_high{i}"))])
+    joined = rows.join(F.broadcast(brackets) if few_groups else brackets, [rows[g].eqNullSafe(brackets[g]) for g in groups])
     for g in groups:
         joined = joined.drop(brackets[g])
-    placed = joined.select(*groups, "_v", F.explode("_wanted").alias("_w")).select(*groups, "_v", "_w.*")
-    below = F.col("_v") < F.col("_low")
-    inside = ~below & (F.col("_v") <= F.col("_high"))
-    # every row below a bracket collapses into one partial count per task
-    counted = (
-        placed.filter(below | inside)
-        .groupBy(*groups, "_i", "_rank", F.when(inside, F.col("_v")).alias("_value"))
-        .agg(F.count("*").alias("_c"))
-    )
-    by_value = Window.partitionBy(*groups, "_i").orderBy(F.asc_nulls_first("_value"))
-    ends = counted.withColumn("_upto", F.sum("_c").over(by_value.rowsBetween(Window.unboundedPreceding, 0)))
-    start = F.col("_upto") - F.col("_c")
-    low_rank, high_rank = F.floor("_rank"), F.ceil("_rank")
-
-    def at(rank):
-        return F.max(F.when((start <= rank) & (rank < F.col("_upto")), F.col("_value")))
-
-    lower, upper = at(low_rank), at(high_rank)
-    fraction = F.max(F.col("_rank") - low_rank)
-    one = ends.groupBy(*groups, "_i").agg((lower + (upper - lower) * fraction).alias("_q"))
-    one = one.withColumn("_q", F.coalesce("_q", F.raise_error(F.lit("rank outside its bracket")).cast("double")))
-    lists = one.groupBy(*groups).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))), lambda x: x["_q"]).alias("quantiles"))
-    slim = sketch.drop("_cuts")
-    match = [slim[g].eqNullSafe(lists[g]) for g in groups]
-    out = slim.join(lists, match)
-    for g in groups:
-        out = out.drop(lists[g])
-    return out
+    each = range(len(probs))
+    inside = reduce(or_, [F.col("_v").between(F.col(f"_low{i}"), F.col(f"_high{i}")) for i in each])
+    # rows outside all brackets collapse into one row per task, which counts those below each bracket
+    counted = joined.groupBy(*groups, F.when(inside, F.col("_v")).alias("_value")).agg(
+        F.count("*").alias("_c"), F.min("_v").alias("min"), F.max("_v").alias("max"),
+        *[F.count_if(F.col("_v") < F.col(f"_low{i}")).alias(f"_below{i}") for i in each],
+        *[F.max(f"_{end}{i}").alias(f"_{end}{i}") for i in each for end in ("low", "high")])  # equal in a group
+    group = Window.partitionBy(*groups)
+    by_value = group.orderBy(F.asc_nulls_first("_value")).rowsBetween(Window.unboundedPreceding, 0)
+    ends = counted.withColumns({
+        "_n": F.sum("_c").over(group),
+        # the rows in other brackets below this one come before it by their value
+        **{f"_upto{i}": F.sum(F.when(F.col("_value").isNull(), F.col(f"_below{i}")).otherwise(F.col("_c"))).over(by_value)
+           for i in each}})
+
+    def quantile(i: int, p: float):
+        rank = F.lit(p) * (F.col("_n") - 1)
+
+        def at(wanted):
+            here = (F.col(f"_upto{i}") - F.col("_c") <= wanted) & (wanted < F.col(f"_upto{i}"))
+            return F.max(F.when(F.col("_value").between(F.col(f"_low{i}"), F.col(f"_high{i}")) & here, F.col("_value")))
+
+        lower, upper = at(F.floor(rank)), at(F.ceil(rank))
+        found = lower + (upper - lower) * F.max(rank - F.floor(rank))
+        return F.coalesce(found, F.raise_error(F.lit("rank outside its bracket")).cast("double"))
+
+    quantiles = F.array(*[quantile(i, p) for i, p in enumerate(probs)])
+    return ends.groupBy(*groups).agg(
+        F.sum("_c").alias("n"), F.min("min").alias("min"), F.max("max").alias("max"), quantiles.alias("quantiles"))
 
 
 def box_stats(df: DataFrame, groups: list[str], value: str, few_groups: bool = False) -> DataFrame:

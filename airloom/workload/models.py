@@ -344,18 +344,22 @@ def linear_bundles():
 
 
 _LINEAR_SQL = " + ".join(f"{c} * {b}" for c, b in LINEAR.items())
-_LAST_SQL = (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY datetime DESC) AS rn "
-             f"FROM ({obs_sql(LINEAR_FEATURES)}) AS o) AS r WHERE rn = 1")
+_NEWEST = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY datetime DESC) AS rn FROM ({}) AS o) AS r WHERE rn = 1"
+_LAST_SQL = _NEWEST.format(obs_sql(LINEAR_FEATURES))
 _FORECAST_SQL = (
     "SELECT station, datetime AS reference_datetime, us_aqi AS current_aqi, h AS horizon_hours, "
     "datetime + to_hours(CAST(h AS INTEGER)) AS target_datetime, "
-    f"round_even({_LINEAR_SQL} + i, 1) AS predicted_aqi, 'linear' AS algorithm FROM ({_LAST_SQL}) AS o "
+    f"round_even({_LINEAR_SQL} + i, 1) AS predicted_aqi, 'linear' AS algorithm FROM ({_NEWEST.format(cleaned_obs_sql(LINEAR_FEATURES))}) AS o "
     f"CROSS JOIN (VALUES {', '.join(f'({h}, {i})' for h, i in INTERCEPT.items())}) AS v(h, i) "
     f"WHERE {' AND '.join(c + ' IS NOT NULL' for c in LINEAR_FEATURES)}")
 
 
 def forecasts(spark, sf_dir):
-    return P.forecast(obs(spark, sf_dir, LINEAR_FEATURES), linear_bundles())
+    """From a stored table of cleaned rows, as a serving job reads it: the newest row of each station, from the
+    months that hold one."""
+    path = new_path(spark, "serving")
+    store.rebuild(cleaned(spark, sf_dir, LINEAR_FEATURES)[0], path, buckets=1)
+    return P.forecast_stored(spark, path, linear_bundles())[0]
 
 
 @register("m7_batch_scoring", comparable_sql(

@@ -76,6 +76,33 @@ def upserted_twice(spark, sf_dir):
     return comparable(store.read_table(spark, path))
 
 
+@register("k3_compaction", comparable_sql(MERGED_SQL, KEYS, AIR))
+def compacted(spark, sf_dir):
+    """Batch by batch, then the months that batches share are merged."""
+    path = build(spark, early(spark, sf_dir), "compact")
+    for begin, end in ((OVERLAP_FROM, CUT), (CUT, "2030-01-01")):
+        store.upsert(late(spark, sf_dir).filter(since(begin) & ~since(end)), path)
+    store.compact(spark, path)
+    return comparable(store.read_table(spark, path))
+
+
+@register("s9_t2_stored_recent_rows", comparable_sql(
+    f"SELECT * FROM (SELECT *, max(datetime) OVER (PARTITION BY station) AS latest FROM ({MERGED_SQL}) AS m) AS w "
+    "WHERE datetime >= latest - INTERVAL 45 DAY", KEYS, AIR))
+def stored_recent(spark, sf_dir):
+    """From the partitions that the newest times name, batches included."""
+    path = build(spark, early(spark, sf_dir), "recent")
+    store.upsert(late(spark, sf_dir), path)
+    return comparable(store.read_last(spark, path, "45 days"))
+
+
+@register("a13_stored_latest_times", f"SELECT station, max(datetime) AS latest FROM ({MERGED_SQL}) AS m GROUP BY 1")
+def stored_latest(spark, sf_dir):
+    path = build(spark, early(spark, sf_dir), "latest")
+    store.upsert(late(spark, sf_dir), path)
+    return store.latest_times(spark, path)
+
+
 MIRROR_AS_OF, MIRROR_YEARS = "2001-11-10", 4
 
 
