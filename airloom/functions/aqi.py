@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from .scalars import round_half_even
 
-# --- Fixed values: category ranges with colour and advice, alert limits ---
+# --- Fixed values: category ranges with colour and advice, alert limits and text ---
 BREAKPOINTS = [
     (0, 50, "Good", "#00e400", "Air quality is satisfactory, poses little or no risk."),
     (51, 100, "Moderate", "#ffff00", "Acceptable; may pose a risk for a very small group of people."),
@@ -17,6 +17,8 @@ BREAKPOINTS = [
 UNKNOWN = ("Unknown", "#9e9e9e", "No data available.")
 WARNING_FROM = 150
 SEVERE_FROM = 200
+ALERT_TEXT = "%s: AQI forecast for %s is %s (%s). %s"  # heading, horizon, value, category, advice
+HEADINGS = {"severe": "Severe alert", "warning": "Warning"}
 # --- end of fixed values ---
 
 
@@ -58,11 +60,9 @@ def alerts(forecasts: DataFrame, value: str = "predicted_aqi", horizon: str = "h
             *[c for c in ("station", "target_datetime") if c in forecasts.columns],
             label.alias("horizon"), "severity", F.col("_c.value").alias("value"),
             F.col("_c.category").alias("category"),
-            F.concat(
-                F.when(F.col("severity") == "severe", "Severe alert").otherwise("Warning"),
-                F.lit(": AQI forecast for "), label, F.lit(" is "),
-                F.col("_c.value").cast("string"), F.lit(" ("), F.col("_c.category"), F.lit("). "),
-                F.col("_c.message"),
+            F.format_string(
+                ALERT_TEXT, F.when(F.col("severity") == "severe", HEADINGS["severe"]).otherwise(HEADINGS["warning"]), label,
+                F.col("_c.value").cast("string"), F.col("_c.category"), F.col("_c.message"),
             ).alias("message"),
         )
     )

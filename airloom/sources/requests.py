@@ -43,7 +43,7 @@ def not_found(requests: DataFrame, places: DataFrame) -> DataFrame:
     """Requests without any match, with the error text."""
     names = _by_name(places, "name").select("_key").distinct()
     return _by_name(requests, "request").join(names, "_key", "left_anti").select(
-        "request", F.concat(F.lit("Could not geocode city: "), "request").alias("error"))
+        "request", F.concat(F.lit("no place is called "), "request").alias("error"))
 
 
 def sample_points(

@@ -74,10 +74,10 @@ def _read_writes(spark: SparkSession, path: str, schema: T.StructType, writes: l
             .parquet(*[f"{path}/data/{WRITE}={n}" for n in writes]))
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
+def _stored(spark: SparkSession, path: str, state: manifest.Manifest | None = None) -> DataFrame:
     """The rows that count, with their partition columns. Only partitions that several writes share are
     merged, with an exchange; the others are read as they are."""
-    state = manifest.load(spark, path)
+    state = state or manifest.load(spark, path)
     rows = _read_writes(spark, path, state.schema, sorted(state.live))
     if (counting := state.counting()) is not None:
         rows = rows.filter(counting)
@@ -104,6 +104,12 @@ def read_table(spark: SparkSession, path: str, since=None, before=None) -> DataF
     return df.drop(*PARTITIONS)
 
 
+def read_state(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """All rows, and the number of the change that made them: equal numbers mean equal rows."""
+    state = manifest.load(spark, path)
+    return _stored(spark, path, state).drop(*PARTITIONS), state.changed
+
+
 # --- newest times per station --------------------------------------------------------------------
 
 def _note_latest(rows: DataFrame, path: str, number: int) -> None:
@@ -177,7 +183,8 @@ def rebuild(df: DataFrame, path: str, buckets: int = BUCKETS) -> DataFrame:
         raise ValueError(
             f"{report.duplicate_keys} rows share their (station, datetime) with another row, {lost} have none; the old table stays")
     _note_latest(written, path, number)
-    state = manifest.Manifest(buckets, rows.schema).add(number, manifest.written_partitions(spark, path, number))
+    state = manifest.Manifest(buckets, rows.schema, changed=before + 1)
+    state = state.add(number, manifest.written_partitions(spark, path, number))
     manifest.commit(spark, path, state, before)
     manifest.vacuum(spark, path)
     return spark.createDataFrame([report], verify(written).schema)
@@ -236,7 +243,7 @@ def upsert(batch: DataFrame, path: str, seq: str | None = None) -> None:
     if not partitions:  # no rows
         return
     _note_latest(_read_writes(spark, path, state.schema, [number]), path, number)
-    state = state.add(number, partitions)
+    state = replace(state.add(number, partitions), changed=before + 1)
     manifest.commit(spark, path, state, before)
     if full := _crowded(state):
         compact(spark, path, full)
@@ -298,7 +305,7 @@ def prune(spark: SparkSession, path: str, as_of, years: int = RETENTION_YEARS) -
     kept = F.col("datetime") >= F.lit(cutoff).cast("timestamp_ntz")
     rows = _stored(spark, path).filter(F.col("month") == boundary).filter(kept)
     latest = _latest(spark, path, state).filter(F.col("latest") >= F.lit(cutoff).cast("timestamp_ntz"))
-    _replace(spark, path, state, before, past, rows, latest)
+    _replace(spark, path, replace(state, changed=before + 1), before, past, rows, latest)
 
 
 # --- versioned snapshots and mirrors -----------------------------------------------------------
@@ -315,20 +322,21 @@ def latest_version(spark: SparkSession, path: str, name: str = "td_version") ->
     return max(_versions(spark, f"{path}/_bounds" if name == "td_version" else path, name), default=1)
 
 
-BOUNDS = "version bigint, train_start timestamp_ntz, train_end timestamp_ntz, test_start timestamp_ntz, test_end timestamp_ntz, rows bigint"
+BOUNDS = ("version bigint, train_start timestamp_ntz, train_end timestamp_ntz, test_start timestamp_ntz, "
+          "test_end timestamp_ntz, rows bigint, source bigint")
 
 
-def write_snapshot(df: DataFrame, path: str) -> int:
+def write_snapshot(df: DataFrame, path: str, source: int | None = None) -> int:
     """Write a split table as the next training-data version and return its number. Earlier
     versions never change. A row of bounds, written last, is the commit: a version without it was cut off,
-    is not read, and its number is not used again."""
+    is not read, and its number is not used again. ``source``: the change of the feature table it was made from."""
     spark = df.sparkSession
     version = max(_versions(spark, f"{path}/_bounds", "td_version") + _folders(spark, path, "td_version"), default=0) + 1
     arranged = df.hint("rebalance", F.col("split")).sortWithinPartitions("split", *KEY)
     target = f"{path}/td_version={version}"
     arranged.write.partitionBy("split").parquet(target)
     written = spark.read.schema(df.schema).parquet(target)
-    _bounds(written, version).coalesce(1).write.parquet(f"{path}/_bounds/td_version={version}")
+    _bounds(written, version, source).coalesce(1).write.parquet(f"{path}/_bounds/td_version={version}")
     return version
 
 
@@ -338,13 +346,13 @@ def _folders(spark: SparkSession, path: str, name: str) -> list[int]:
     return [int(f.getPath().getName().split("=", 1)[1]) for f in fs.globStatus(pattern) or []]
 
 
-def _bounds(rows: DataFrame, version: int) -> DataFrame:
+def _bounds(rows: DataFrame, version: int, source: int | None) -> DataFrame:
     def of(split: str):
         here = F.col("split") == split
         return [F.min(F.when(here, F.col("datetime"))).alias(f"{split}_start"),
                 F.max(F.when(here, F.col("datetime"))).alias(f"{split}_end")]
     return rows.agg(*of("train"), *of("test"), F.count("*").alias("rows")).select(
-        F.lit(version).cast("bigint").alias("version"), "*")
+        F.lit(version).cast("bigint").alias("version"), "*", F.lit(source).cast("bigint").alias("source"))
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -353,6 +361,11 @@ def read_snapshot(spark: SparkSession, path: str, version: int | None = None) ->
 
 def snapshot_metadata(spark: SparkSession, path: str) -> DataFrame:
     """One row per version: time range and rows of each split, as noted when it was written."""
+    return noted_bounds(spark, path).drop("source")
+
+
+def noted_bounds(spark: SparkSession, path: str) -> DataFrame:
+    """The metadata with the change of the feature table that each version was made from."""
     versions = _versions(spark, f"{path}/_bounds", "td_version")
     if not versions:
         return spark.createDataFrame([], BOUNDS)

@@ -9,6 +9,7 @@ from ..operators import metrics as M
 from ..operators.recent import latest_row
 from ..operators.windows import rolling, targets
 from ..plans import forecast as P
+from ..plans import splits as S
 from ..plans import train as E
 from ..plans import training as T
 from ..plans.features import feature_columns, horizon_features
@@ -42,6 +43,46 @@ LEARNABLE_SQL = split_sql(
     f"WHERE {' AND '.join(t + ' IS NOT NULL' for t in TARGETS)}")
 
 
+def refreshed_split(spark, sf_dir):
+    """A stored table and the split made from it: twice, and once more after a compaction, which changes no row."""
+    df, hot = cleaned(spark, sf_dir, PREDICTORS)
+    table, snapshots = new_path(spark, "features"), new_path(spark, "snapshots")
+    store.rebuild(rolling(df, targets, hot=hot), table, buckets=1)
+    versions = {S.refresh_split(spark, table, snapshots, "1 day") for _ in range(2)}
+    store.compact(spark, table)
+    return snapshots, versions | {S.refresh_split(spark, table, snapshots, "1 day")}
+
+
+@register("i6_p3_split_refresh", comparable_sql(
+    f"SELECT *, 1 AS versions FROM ({LEARNABLE_SQL}) AS s", "station datetime split versions", ["us_aqi", *TARGETS]))
+def split_refresh(spark, sf_dir):
+    snapshots, versions = refreshed_split(spark, sf_dir)
+    rows = store.read_snapshot(spark, snapshots).withColumn("versions", F.lit(len(versions)))
+    return comparable(rows.select("station", "datetime", "split", "versions", "us_aqi", *TARGETS))
+
+
+_PART_SQL = " UNION ALL ".join(
+    f"SELECT station, datetime, '{split}' AS split, '{kind}' AS part, c AS name, v AS value FROM ({LEARNABLE_SQL}) AS s, "
+    f"LATERAL (VALUES {', '.join(f"('{c}', {c})" for c in cols)}) AS x(c, v) WHERE split = '{split}'"
+    for split in ("train", "test") for kind, cols in (("features", PREDICTORS), ("labels", TARGETS)))
+
+
+@register("s10_feature_and_label_parts", comparable_sql(
+    f"SELECT split, part, name, count(*) AS rows, min(datetime) AS first_datetime, max(datetime) AS last_datetime, avg(value) AS mean "
+    f"FROM ({_PART_SQL}) AS p GROUP BY 1, 2, 3", "split part name rows first_datetime last_datetime", "mean"))
+def split_parts(spark, sf_dir):
+    parts = S.split_parts(spark, refreshed_split(spark, sf_dir)[0], PREDICTORS, TARGETS)
+    long = []
+    for where, part in parts._asdict().items():
+        kind, split = where.split("_")
+        cols = part.columns[2:]
+        long.append(part.unpivot(["station", "datetime"], cols, "name", "value").select(
+            "*", F.lit(split).alias("split"), F.lit(kind).alias("part")))
+    return comparable(M.union_all(long).groupBy("split", "part", "name").agg(
+        F.count("*").alias("rows"), F.min("datetime").alias("first_datetime"), F.max("datetime").alias("last_datetime"),
+        F.avg("value").alias("mean")))
+
+
 def metrics_sql(y: str, p: str) -> str:
     return (f"count(*) AS rows, sqrt(avg(({y} - {p}) * ({y} - {p}))) AS rmse, avg(abs({y} - {p})) AS mae, "
             f"1 - avg(({y} - {p}) * ({y} - {p})) / nullif(var_pop({y}), 0) AS r2")

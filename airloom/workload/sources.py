@@ -101,7 +101,7 @@ def geocoded(spark, sf_dir):
 
 
 @register("s5_geocode_not_found",
-          f"SELECT request, 'Could not geocode city: ' || request AS error FROM ({REQUESTS_SQL}) AS q "
+          f"SELECT request, 'no place is called ' || request AS error FROM ({REQUESTS_SQL}) AS q "
           f"WHERE lower(request) NOT IN (SELECT lower(name) FROM ({PLACES_SQL}) AS p)")
 def not_geocoded(spark, sf_dir):
     return requests.not_found(place_requests(spark, sf_dir), places(spark, sf_dir))
