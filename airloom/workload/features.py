@@ -21,13 +21,22 @@ KEYS_SQL = obs_sql(["us_aqi"])
 
 
 def holidays(spark, sf_dir):
-    """Civil dates of the years in the data, so that the comparison SQL can state them."""
+    """The whole calendar of the years in the data."""
     days = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("datetime"))
-    return holidays_of(days, lunar=False)
-
-
-HOLIDAY_DAYS = ["02-05", "03-23", "05-01", "08-14", "11-09", "12-25"]  # fixed values: civil holidays
-IS_HOLIDAY = f"CASE WHEN strftime(datetime, '%m-%d') IN ({', '.join(repr(d) for d in HOLIDAY_DAYS)}) THEN 1 ELSE 0 END"
+    return holidays_of(days)
+
+
+# Civil holidays, and lunar ones as (month, first day, number of days).
+HOLIDAY_DAYS = ["02-05", "03-23", "05-01", "08-14", "11-09", "12-25"]
+LUNAR_DAYS = [(10, 1, 3), (12, 10, 3), (3, 12, 1), (1, 9, 2)]
+# end of fixed values
+LUNAR_SQL = (  # the arithmetic lunar calendar, from 1921 to 2134
+    "SELECT DATE '0622-07-18' + CAST((y - 1) * 354 + (3 + 11 * y) // 30 + 29 * (m - 1) + m // 2 + d + extra AS INTEGER) "
+    f"FROM range(1340, 1560) AS ys(y), (VALUES {', '.join(map(str, LUNAR_DAYS))}) AS l(m, d, n), range(0, 3) AS es(extra) WHERE extra < n")
+IS_HOLIDAY = (
+    f"CASE WHEN strftime(datetime, '%m-%d') IN ({', '.join(repr(d) for d in HOLIDAY_DAYS)}) "
+    "AND NOT (strftime(datetime, '%m-%d') = '11-09' AND year(datetime) BETWEEN 2015 AND 2021) "
+    f"OR CAST(datetime AS DATE) IN ({LUNAR_SQL}) THEN 1 ELSE 0 END")
 IS_WEEKEND = "CASE WHEN isodow(datetime) IN (6, 7) THEN 1 ELSE 0 END"
 IS_RUSH = "CASE WHEN hour(datetime) BETWEEN 7 AND 9 OR hour(datetime) BETWEEN 17 AND 20 THEN 1 ELSE 0 END"
 

@@ -1,5 +1,6 @@
 """Splits, metrics, models, forecasts and explanations."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.aqi import alerts
@@ -13,12 +14,12 @@ from ..plans import splits as S
 from ..plans import train as E
 from ..plans import training as T
 from ..plans.features import feature_columns, horizon_features
-from ..schema import HORIZONS, TARGETS
+from ..schema import EDGE_SENSITIVE, HORIZONS, TARGETS
 from ..session import new_path
 from ..sources import store
 from .catalog import comparable, comparable_sql, register
 from .explore import case_sql
-from .features import FEATURES_SQL, features
+from .features import FEATURE_DOUBLES, FEATURES_SQL, INTEGERS, features
 from .sql import cleaned_obs_sql, targets_sql
 from .store import split_sql
 from .views import obs, obs_sql
@@ -313,6 +314,35 @@ def parts(spark, sf_dir):
     return [rows.filter(F.col("split") == s).drop("split") for s in ("train", "test")]
 
 
+MODEL_FEATURES = [*INTEGERS, *[c for c in FEATURE_DOUBLES if c not in TARGETS]]
+_READY_SQL = split_sql(f"SELECT * FROM ({FEATURES_SQL}) AS f WHERE {' AND '.join(c + ' IS NOT NULL' for c in EDGE_SENSITIVE)}")
+_WHOLE = " AND ".join(f"{c} IS NOT NULL" for c in MODEL_FEATURES)
+
+
+def fitted_wide(spark, sf_dir):
+    """Ridge on every feature of the table, for all horizons: training rows, models, scaler, features by horizon."""
+    train = T.pooled_cv_blocks(parts(spark, sf_dir)[0]).withColumn("weight", ridge.period_weight(OUTLIER_END))
+    path = new_path(spark, "blocks")
+    train.write.parquet(path)
+    train, columns = spark.read.parquet(path), feature_columns(train.drop("weight", "cv_block"))
+    used = {h: horizon_features(columns, h) for h in HORIZONS}
+    models, stats = ridge.fit_ridge(train, columns, weight=F.col("weight"), used=used)
+    # a row per horizon: keep the fitted numbers, not the plan behind them
+    return train, spark.createDataFrame(models.collect(), ridge.MODEL_SCHEMA), stats, columns, used
+
+
+@register("m1_ridge_all_features", comparable_sql(
+    f"SELECT h AS horizon, feature, count(*) AS rows, 0.0 AS gradient FROM ({_READY_SQL}) AS t, "
+    f"(VALUES {', '.join(f'({h})' for h in HORIZONS)}) AS v(h), "
+    f"(VALUES {', '.join(f"('{c}')" for c in ['intercept', *MODEL_FEATURES])}) AS n(feature) "
+    f"WHERE split = 'train' AND {_WHOLE} GROUP BY 1, 2", "horizon feature rows", "gradient"))
+def ridge_all_features(spark, sf_dir):
+    """The slopes of the error at the fitted models, over all rows: 0 is what the SQL asks of each."""
+    train, models, stats, columns, used = fitted_wide(spark, sf_dir)
+    slopes = ridge.optimality(train, models, stats, columns, used, F.col("weight"))
+    return comparable(slopes.drop("coefficient"))
+
+
 FOREST = trees.Params("forest", trees=100, depth=10, min_rows=5, feature_share="sqrt")
 BOOSTED = trees.Params("boosted", trees=100, depth=4, min_rows=5, feature_share=0.8, rate=0.1, row_share=0.8, alpha=0.1, lam=1.0)
 
@@ -346,8 +376,11 @@ def boosted(spark, sf_dir):
 
 @register("m6_t3_feature_importance")
 def importance(spark, sf_dir):
-    _, models, _ = fitted(spark, sf_dir)
-    return comparable(X.importance(models.filter("horizon = 24"), F.col("coefficients"), PREDICTORS, 10))
+    """Of the ridge models on all features, for each horizon."""
+    _, models, _, _, used = fitted_wide(spark, sf_dir)
+    return comparable(M.union_all([
+        X.importance(models.filter(F.col("horizon") == h), F.col("coefficients"), used[h], 10).withColumn("horizon", F.lit(h))
+        for h in HORIZONS]))
 
 
 @register("m5_e3_train_and_select")
@@ -488,3 +521,59 @@ def shapley(spark, sf_dir):
     table = features(spark, sf_dir)
     back = X.sampled_background(X.background(table, names), names)
     return comparable(X.shapley_contributions(latest_row(table).na.drop(subset=names), back, model, names))
+
+
+class LinearModel:
+    """The fixed linear model as one that scores a vector column."""
+
+    def transform(self, df):
+        products = F.zip_with(vector_to_array("features"), F.lit(list(LINEAR.values())), lambda a, b: a * b)
+        return df.withColumn("prediction", F.aggregate(products, F.lit(INTERCEPT[24]), lambda s, v: s + v))
+
+
+def linear_shapley(spark, sf_dir):
+    """Every background row is drawn, so that the contributions have a closed form."""
+    rows, back = explained(spark, sf_dir)
+    drawn = X.sampled_background(back, LINEAR_FEATURES, X.BACKGROUND_ROWS)
+    return X.shapley_within(rows.na.drop(subset=LINEAR_FEATURES), drawn, LinearModel(), LINEAR_FEATURES, -1.0, first=64)
+
+
+_SHAPLEY_SQL = "WITH back AS (" + _BACK_SQL + ") " + " UNION ALL ".join(
+    f"SELECT i.station, '{c}' AS feature, avg({b} * (i.{c} - b.{c})) AS contribution, count(*) AS draws, "
+    f"stddev_samp({b} * (i.{c} - b.{c})) / sqrt(count(*)) AS standard_error, "
+    f"avg({INTERCEPT[24]} + {' + '.join(f'{w} * b.{f}' for f, w in LINEAR.items())}) AS base, "
+    f"any_value({INTERCEPT[24]} + {' + '.join(f'{w} * i.{f}' for f, w in LINEAR.items())}) AS prediction "
+    f"FROM ({_CLEAN_LAST}) AS i JOIN back AS b ON i.station = b.station WHERE "
+    f"{' AND '.join(f'i.{f} IS NOT NULL' for f in LINEAR)} GROUP BY 1" for c, b in LINEAR.items())
+
+
+@register("m10_shapley_of_linear_model", comparable_sql(
+    _SHAPLEY_SQL, "station feature draws", "contribution standard_error base prediction"))
+def shapley_of_linear(spark, sf_dir):
+    return comparable(linear_shapley(spark, sf_dir))
+
+
+@register("m10_a18_shapley_global", comparable_sql(
+    f"SELECT feature, avg(abs(contribution)) AS mean_abs_contribution, count(*) AS stations FROM ({_SHAPLEY_SQL}) AS s GROUP BY 1",
+    "feature stations", "mean_abs_contribution"))
+def shapley_global(spark, sf_dir):
+    return comparable(X.global_contributions(linear_shapley(spark, sf_dir)))
+
+
+SHAPLEY_TOLERANCE = 5.0  #: AQI points
+
+
+@register("m10_shapley_adds_up", comparable_sql(
+    f"SELECT station, {len(MODEL_FEATURES)} AS features, 0.0 AS gap FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY "
+    f"datetime DESC) AS rn FROM ({FEATURES_SQL}) AS f) AS r WHERE rn = 1 AND {_WHOLE}", "station features", "gap"))
+def shapley_adds_up(spark, sf_dir):
+    """Boosted trees on the feature table: base and contributions of each station against its prediction."""
+    trainer, names = tree_table(spark, sf_dir)
+    model = trainer.fit(BOOSTED, tuple(range(len(names))), 0)
+    path = new_path(spark, "explained")
+    features(spark, sf_dir).write.parquet(path)
+    table = spark.read.parquet(path)
+    back = X.sampled_background(X.background(table, names), names)
+    parts_ = X.shapley_within(latest_row(table).na.drop(subset=names), back, model, names, SHAPLEY_TOLERANCE)
+    gap = F.first("base") + F.sum("contribution") - F.first("prediction")
+    return comparable(parts_.groupBy("station").agg(F.count("*").alias("features"), F.abs(gap).alias("gap")))
