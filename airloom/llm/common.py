@@ -139,6 +139,33 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+CHUNK = 256
+
+
+def scanned(items: Column, state: Column, step, kind: str) -> Column:
+    """What step(state, item) -> (state, out) gives for each item, as an array of type `kind`; in order, no item: empty.
+
+    Items go in chunks: an array that grows by one item costs its whole length each time, so that n items cost
+    n * CHUNK + (n / CHUNK) ** 2 instead of n ** 2."""
+    none, nones = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+
+    def inner(s: Column, x: Column) -> Column:
+        after, out = step(s["state"], x)
+        return F.struct(after.alias("state"), F.concat(s["out"], F.array(out)).alias("out"))
+
+    def outer(items: Column):
+        return lambda s, i: let(
+            F.aggregate(F.slice(items, i * CHUNK + 1, CHUNK), F.struct(s["state"].alias("state"), none.alias("out")), inner),
+            lambda r: F.struct(r["state"].alias("state"), F.concat(s["out"], F.array(r["out"])).alias("out")))
+
+    def whole(items: Column) -> Column:
+        chunks = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int"))
+        return F.when(F.size(items) == 0, none).otherwise(F.aggregate(
+            chunks, F.struct(state.alias("state"), nones.alias("out")), outer(items), lambda s: F.flatten(s["out"])))
+
+    return let(items, whole)
+
+
 def sampled(df: DataFrame, rows: int, total: int, *columns: str, seed: int = 5) -> DataFrame:
     """Distinct values of the columns, about `rows` of `total` at most, chosen by a seeded hash: the bound for model fitting."""
     share = min(1.0, rows / max(1, total))

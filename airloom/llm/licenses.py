@@ -8,7 +8,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airloom.llm.common import WORD_ANY_CASE, free_name, let, lower_ascii
+from airloom.llm.common import WORD_ANY_CASE, free_name, let, lower_ascii, scanned
 
 # The phrases that every scan reports, and the label of each.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -105,16 +105,15 @@ def _places(norm: Column, pattern: Column) -> Column:
     """array<struct<first, last>>: words that the matches of a pattern cover."""
     pieces, matches = F.split(norm, pattern, -1), F.regexp_extract_all(norm, pattern, F.lit(0))
     spaces = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
-    start = F.struct(F.lit(0).alias("spaces"), F.array().cast("array<struct<first:bigint,last:bigint>>").alias("found"))
-    steps = F.arrays_zip(F.slice(pieces, 1, F.size(matches)).alias("piece"), matches.alias("match"))
+    steps = let(matches, lambda m: F.when(F.size(m) == 0, F.array().cast("array<struct<piece:string,match:string>>")).otherwise(
+        F.arrays_zip(F.slice(pieces, 1, F.size(m)).alias("piece"), m.alias("match"))))
 
-    def step(state: Column, x: Column) -> Column:
-        first = state["spaces"] + spaces(x["piece"])
+    def step(before: Column, x: Column) -> tuple[Column, Column]:  # how many spaces stand before
+        first = before + spaces(x["piece"])
         after = first + spaces(x["match"])
-        place = F.struct(F.floor(first / 2).cast("bigint").alias("first"), (F.floor(after / 2) - 1).cast("bigint").alias("last"))
-        return F.struct(after.cast("int").alias("spaces"), F.concat(state["found"], F.array(place)).alias("found"))
+        return after, F.struct(F.floor(first / 2).cast("bigint").alias("first"), (F.floor(after / 2) - 1).cast("bigint").alias("last"))
 
-    return F.aggregate(steps, start, step)["found"]
+    return scanned(steps, F.lit(0), step, "struct<first:bigint,last:bigint>")
 
 
 def _resolved(found: Column) -> Column:
@@ -122,16 +121,14 @@ def _resolved(found: Column) -> Column:
     by_place = F.array_sort(found, lambda a, b: F.when(a["first"] != b["first"], F.sign(a["first"] - b["first"]).cast("int")).otherwise(
         (a["number"] - b["number"])))
     none = F.array().cast(_PLACES)
-    start = F.struct(F.array().cast(f"array<{_PLACES}>").alias("done"), none.alias("open"), F.lit(-1).cast("bigint").alias("reach"))
 
-    def step(s: Column, x: Column) -> Column:  # runs of detections that overlap
-        apart = x["first"] > s["reach"]
-        return F.struct(
-            F.when(apart & (F.size(s["open"]) > 0), F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]).alias("done"),
-            F.when(apart, F.array(x)).otherwise(F.concat(s["open"], F.array(x))).alias("open"),
-            F.greatest(s["reach"], x["last"]).alias("reach"))
+    def runs(ordered: Column) -> Column:  # detections that overlap, one array for each run
+        apart = scanned(ordered, F.lit(-1).cast("bigint"), lambda reach, x: (F.greatest(reach, x["last"]), x["first"] > reach), "boolean")
+        starts = let(apart, lambda a: F.filter(F.sequence(F.lit(0), F.size(a) - 1), lambda i: F.get(a, i)))
+        cut = lambda s: F.transform(s, lambda at, j: F.slice(
+            ordered, at + 1, F.coalesce(F.get(s, j + 1), F.size(ordered)) - at))
+        return F.when(F.size(ordered) == 0, F.array().cast(f"array<{_PLACES}>")).otherwise(let(starts, cut))
 
-    runs = F.aggregate(by_place, start, step, lambda s: F.concat(s["done"], F.array(s["open"])))
     width = lambda x: x["last"] - x["first"]
     ahead = lambda a, b: (
         F.when(a["priority"] != b["priority"], b["priority"] - a["priority"])
@@ -141,7 +138,7 @@ def _resolved(found: Column) -> Column:
         F.array_sort(run, ahead), none,
         lambda kept, x: F.when(
             F.exists(kept, lambda k: (k["first"] <= x["last"]) & (k["last"] >= x["first"])), kept).otherwise(F.concat(kept, F.array(x))))
-    return F.flatten(F.transform(runs, chosen))
+    return F.flatten(F.transform(let(by_place, runs), chosen))
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:

@@ -11,7 +11,6 @@ _MARK = r"^[ \t]*(?:>[ \t]?)+"
 # How mail programs announce a quote, at the end of the line before it.
 _SAYS = r"(?i)(?:wrote|writes|said|schrieb|a écrit|escribió) ?:[ \t]*$"
 RUN = 5  # words in a run
-_PASSAGES = "array<struct<depth:int,lines:array<string>>>"
 
 
 def _depth(line: Column) -> Column:
@@ -26,20 +25,27 @@ def _lines(text: Column) -> Column:
 
 
 def _passages(lines: Column) -> Column:
-    """Runs of lines of one depth above 0 without blank ones, in order; a blank quoted line ends a passage."""
-    start = F.struct(F.array().cast(_PASSAGES).alias("done"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("open"))
-    closed = lambda s: F.when(
-        s["depth"] > 0, F.concat(s["done"], F.array(F.struct(s["depth"].alias("depth"), s["open"].alias("lines"))))).otherwise(s["done"])
+    """Runs of lines of one depth above 0 without blank ones, in order; a blank quoted line ends a passage.
 
-    def step(s: Column, x: Column) -> Column:
-        depth = F.when(F.trim(F.translate(x["body"], "\t\r", "  ")) == "", 0).otherwise(x["depth"])
-        same = s["depth"] == depth
-        return F.struct(
-            F.when(same, s["done"]).otherwise(closed(s)).alias("done"), depth.alias("depth"),
-            F.when(depth == 0, F.array().cast("array<string>")).when(same, F.concat(s["open"], F.array(x["body"]))).otherwise(
-                F.array(x["body"])).alias("open"))
+    Each line whose depth differs from that of the line before opens a part, named by a control character and the depth;
+    the joined lines are split there, so that the time grows with the text. Such characters in a text are no parts of words."""
+    plain = lambda body: F.translate(body, "\x01\x02", "  ")
+    blank = lambda x: F.trim(F.translate(x["body"], "\t\r", "  ")) == ""
+    parts = F.transform(lines, lambda x: F.struct(F.when(blank(x), 0).otherwise(x["depth"]).alias("depth"), plain(x["body"]).alias("body")))
 
-    return F.aggregate(lines, start, step, closed)
+    def opened(x: Column, before: Column) -> Column:
+        opens = F.concat(F.lit("\x01"), x["depth"].cast("string"), F.lit("\x02"))
+        return F.concat(F.when(x["depth"] == before, "").otherwise(opens), x["body"])
+
+    def cut(parts: Column) -> Column:
+        marked = F.transform(parts, lambda x, i: opened(x, F.coalesce(F.get(parts, i - 1)["depth"], F.lit(0))))
+        return F.split(F.array_join(marked, "\n"), "\x01", -1)
+
+    read = F.transform(let(parts, cut), lambda p: F.struct(
+        F.coalesce(F.substring_index(p, "\x02", 1).try_cast("int"), F.lit(0)).alias("depth"), p.alias("text")))
+    quoted = F.filter(read, lambda p, i: (i > 0) & (p["depth"] > 0))  # before the first part nothing is quoted
+    return F.transform(quoted, lambda p: F.struct(p["depth"].alias("depth"), F.split(
+        F.rtrim(F.substring(p["text"], F.instr(p["text"], "\x02") + 1, F.length(p["text"])), F.lit("\n")), "\n", -1).alias("lines")))
 
 
 def _own(lines: Column) -> Column:
@@ -69,11 +75,12 @@ def _pieces(lines: Column) -> Column:
 
 def _runs(words: Column, n: Column) -> Column:
     """The same of all runs of n words, wherever lines break; a character weighs as much in all its runs as it does once in a piece."""
-    run = lambda i: F.array_join(F.slice(words, i, n), " ")
-    all_runs = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.struct(
-        n.alias("n"), F.xxhash64(F.lit("run"), run(i)).alias("key"), F.length(run(i)).alias("size")))
+    whole = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
+    # distinct as strings, which are hashed; structs would be compared all with all
+    all_runs = F.transform(F.array_distinct(whole), lambda r: F.struct(
+        n.alias("n"), F.xxhash64(F.lit("run"), r).alias("key"), F.length(r).alias("size")))
     none = F.array().cast("array<struct<n:int,key:bigint,size:int>>")
-    return F.when((n > 0) & (F.size(words) >= n), F.array_distinct(all_runs)).otherwise(none)
+    return F.when((n > 0) & (F.size(words) >= n), all_runs).otherwise(none)
 
 
 def _quoted_keys(lines: Column) -> Column:

@@ -11,6 +11,8 @@ from airloom.llm.common import free_name, lower_ascii
 PREFIX = 8
 #: Copies of each rule, so that an expression that most URLs share is dealt over as many tasks.
 SALTS = 16
+#: Different lengths of rule paths that are listed in the plan; beyond, each prefix of a path is looked up.
+LENGTHS = 256
 RULES = "host string, path string, verdict string"
 
 
@@ -41,11 +43,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url:
     longer host, then the verdict first by name. No rule: `default`.
 
     Each URL is expanded into host suffixes times path prefixes; prefixes are cut where a rule's path
-    can end, so their number is bounded by the distinct lengths of rule paths, not by the URL.
+    can end, so their number is bounded by the distinct lengths of rule paths, not by the URL; if rule paths
+    have more than `LENGTHS` lengths, each prefix of at most the longest rule's length is looked up.
     Each distinct pair of host and path is expanded once. Expressions meet rules on the first 8 hex
     digits of their SHA-256 digest; whole digests confirm. Spark broadcasts the rules if its own size
     check allows and shuffles otherwise; then 16 salted copies of the rules spread an expression that
-    most URLs share, and as many copies of each decision a URL that most rows have.
+    most URLs share, and as many copies of each decision a URL that most rows have. Rows without a host
+    have salts that no decision has, spread over all tasks.
 
     Null URL or none with `://`: empty host and path, verdict `default`. Rules with a null host, path or
     verdict, or an empty host, fit nothing. Repeated rows on either side: one result for each page row.
@@ -57,12 +61,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url:
         lower_ascii(F.col("host")).alias("host"), "path", "verdict").groupBy("host", "path").agg(F.min("verdict").alias("verdict"))
     sizes = rules.agg(F.max(F.length("host")).alias("host"), F.sort_array(F.collect_set(F.length("path"))).alias("paths")).first()
     longest, cuts = sizes["host"] or 0, sizes["paths"] or []
-    if len(cuts) > 4096:
-        raise ValueError(f"rule paths have {len(cuts)} different lengths; at most 4096 are served")
     host, path = url_parts(F.col(f"`{url}`"))
     parted = pages.withColumns({"host": host, "path": path})
     distinct = parted.select("host", "path").distinct()
-    lengths = F.filter(F.array(*[F.lit(int(c)) for c in cuts]).cast("array<int>"), lambda n: n <= F.length("path"))
+    if len(cuts) > LENGTHS:  # every prefix up to the longest rule's; those that no rule has find none
+        lengths = F.sequence(F.lit(0), F.least(F.length("path"), F.lit(max(cuts))))
+    else:
+        lengths = F.filter(F.array(*[F.lit(int(c)) for c in cuts]).cast("array<int>"), lambda n: n <= F.length("path"))
     made = F.flatten(F.transform(
         _host_suffixes(F.col("host"), longest),
         lambda h: F.transform(lengths, lambda n: F.concat(h, F.lit(" "), F.substring("path", F.lit(1), n)))))
@@ -80,7 +85,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url:
     decided = hits.groupBy("host", "path").agg(F.max("found").alias("found")).select(
         F.col("host").alias("to_host"), F.col("path").alias("to_path"), "found", every_salt.alias("to_salt"))
     salt, found = free_name(pages, "salt"), free_name(pages, "found")
-    parted = parted.withColumn(salt, F.pmod(F.spark_partition_id(), F.lit(SALTS)))  # any salt finds its copy
+    parted = parted.withColumn(salt, F.when(
+        F.col("host") == "", F.lit(SALTS) + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))).otherwise(
+        F.pmod(F.spark_partition_id(), F.lit(SALTS))))  # any salt below SALTS finds its copy
     decided = decided.withColumnRenamed("found", found)
     judged = parted.join(
         decided, (parted["host"] == decided["to_host"]) & (parted["path"] == decided["to_path"])
