@@ -1,5 +1,11 @@
 """Exploratory aggregates."""
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -8,6 +14,8 @@ from ..schema import DISTRIBUTION_POLLUTANTS, TARGET
 from .clean import numeric_columns
 from .quantiles import box_stats
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # functions travel to the workers whole
+
 UNHEALTHY_ABOVE = 150
 
 
@@ -80,12 +88,57 @@ def top_correlated(df: DataFrame, n: int = 15, target: str = TARGET, cols: list[
 
 def correlation_matrix(df: DataFrame, n: int = 15, target: str = TARGET, cols: list[str] | None = None) -> DataFrame:
     """Pairwise correlations (over rows where both are present) of the ``n`` columns closest to the
-    target, long form. One pass ranks the columns (``n`` names come back), one aggregate has all
-    pairs."""
+    target, long form. One pass ranks the columns (``n`` names come back), another adds up the moments of all
+    pairs: as matrices in each task, since an aggregate of a hundred correlations is too long to be compiled."""
     names = [r["column"] for r in top_correlated(df, n, target, cols).collect()]
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    one_row = df.agg(*[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"p{i}").alias("corr"))
-        for i, pair in enumerate(pairs) for a, b in sorted({pair, pair[::-1]})]
-    return one_row.select(F.inline(F.array(*cells)))
+    size = len(names)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+                known = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+                moments = pair_moments(x, known)
+                total = moments if total is None else merged_moments(total, moments)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], names=["moments"])
+
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    parts = numbers.mapInArrow(add_up, "moments array<double>").collect()  # a few matrices a task
+    moments = np.zeros((4, size, size))
+    for part in parts:
+        moments = merged_moments(moments, np.array(part.moments).reshape(4, size, size))
+    _, _, squares, products = moments
+    with np.errstate(invalid="ignore", divide="ignore"):
+        corr = products / np.sqrt(squares * squares.T)
+    flat = (squares == 0) | (squares.T == 0)  # no rows, or a column that does not vary
+    cells = [(a, b, None if flat[i, j] else float(corr[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
+    return df.sparkSession.createDataFrame(cells, "column_a string, column_b string, corr double")
+
+
+def pair_moments(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Over the rows where both columns of a pair are known: rows, mean of the first, its squared deviations, and
+    the products of both deviations (4 x columns x columns). A pair with a NaN or an infinity has NaN deviations."""
+    finite = known & np.isfinite(np.where(known, x, 0.0))
+    one, plain = known.astype(float), np.where(finite, x, 0.0)
+    centre = plain.sum(axis=0) / np.maximum(finite.sum(axis=0), 1)
+    low, high = np.where(finite, x, np.inf).min(axis=0), np.where(finite, x, -np.inf).max(axis=0)
+    centre = np.where(low == high, low, centre)  # a column that does not vary has deviations of exactly 0
+    y = np.where(finite, x - centre, 0.0)
+    n, s = one.T @ one, y.T @ one
+    mean = s / np.maximum(n, 1)
+    odd = (known & ~finite).astype(float)
+    odd = odd.T @ one + one.T @ odd > 0
+    squares, products = np.maximum((y * y).T @ one - s * mean, 0), y.T @ y - s * mean.T
+    return np.stack([n, mean + centre[:, None], np.where(odd, np.nan, squares), np.where(odd, np.nan, products)])
+
+
+def merged_moments(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of two parts of the rows together (Chan, Golub and LeVeque)."""
+    n = a[0] + b[0]
+    share, apart = b[0] / np.maximum(n, 1), b[1] - a[1]
+    apart = np.where((a[0] > 0) & (b[0] > 0), apart, 0.0)
+    both = a[0] * share
+    mean = np.where(a[0] > 0, a[1] + apart * share, b[1])
+    return np.stack([n, mean, a[2] + b[2] + apart * apart * both, a[3] + b[3] + apart * apart.T * both])
