@@ -4,21 +4,20 @@ from pyspark.sql import functions as F
 
 from ..operators import windows as X
 from ..operators.clean import clean, deduplicate
-from ..operators.skew import find_hot_stations, with_position
+from ..operators.skew import with_position
 from ..plans.training import cv_blocks, order_violations, pooled_cv_blocks
 from ..operators.recent import last_rows
 from ..schema import POLLUTANT_SHORT_NAMES
 from . import views
 from .catalog import comparable, comparable_sql, register
 from .sql import change_sql, cleaned_obs_sql, cleaned_sql, lag_sql, rolling_sql
-from .views import obs, obs_sql
+from .views import obs, obs_sql, station_tasks
 
 
 def cleaned(spark, sf_dir, cols):
     """Cleaned observations with the hot-station profile, which later steps share."""
-    raw = obs(spark, sf_dir, cols)
-    hot = find_hot_stations(raw)
-    return clean(raw, cols, hot=hot), hot
+    tasks, hot = station_tasks(spark, sf_dir)
+    return clean(obs(spark, sf_dir, cols, tasks=tasks), cols, hot=hot), hot
 
 
 def _family(name, cols, first_pass=None, long_names=(), sql=()):
