@@ -92,8 +92,10 @@ COPIES_SQL = (f"SELECT *, 0 AS ingest_seq FROM ({obs_sql(AQI)}) AS a "
 
 
 def copies(spark, sf_dir):
-    first = obs(spark, sf_dir, AQI).withColumn("ingest_seq", F.lit(0))
-    later = obs(spark, sf_dir, AQI).select(
+    """Both lie in the same tasks by station, so that no step over their keys puts more into a task as the table grows."""
+    tasks, _ = station_tasks(spark, sf_dir)
+    first = obs(spark, sf_dir, AQI, tasks=tasks).withColumn("ingest_seq", F.lit(0))
+    later = obs(spark, sf_dir, AQI, tasks=tasks).select(
         "station", "datetime", (F.col("us_aqi") + 1).alias("us_aqi"), F.lit(1).alias("ingest_seq"))
     return first.unionByName(later)
 

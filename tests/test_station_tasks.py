@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from airloom.operators import clean as C
 from airloom.operators.skew import HotStations
 from airloom.workload import views
+from airloom.workload.windows import copies
 
 
 def _items(spark, tmp_path, rows, stations):
@@ -68,3 +69,12 @@ def test_many_columns_are_filled_like_few(spark, monkeypatch):
         assert a[:2] == b[:2] and a[-1] == b[-1]
         assert [x is None for x in a[2:-1]] == [x is None for x in b[2:-1]]
         assert np.array_equal(np.array(a[2:-1], float), np.array(b[2:-1], float), equal_nan=True)
+
+
+def test_copies_of_a_key_meet_in_the_tasks_they_are_in(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(views, "ITEMS_A_TASK", 100)
+    sf = _items(spark, tmp_path, 3_000, 40)
+    kept = C.deduplicate(copies(spark, sf), "ingest_seq", keep="last")
+    assert kept._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2  # one for each set of copies
+    assert kept.rdd.getNumPartitions() == 30  # the table's tasks, not a fixed number
+    assert kept.filter("ingest_seq = 1").count() == kept.count() == views.obs(spark, sf, ["us_aqi"]).count()
